@@ -19,9 +19,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def _runs(items: Column) -> Column:
     count = F.ceil(F.size(items) / F.lit(RUN)).cast("int")
-    return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda r: F.slice(items, r * RUN + 1, F.lit(RUN)))).otherwise(
-        F.array()
-    )
+    numbers = F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1)
+    return F.transform(numbers, lambda r: F.slice(items, r * RUN + 1, F.lit(RUN)))
 
 
 def fold_with_output(
@@ -51,12 +50,15 @@ def fold_with_output(
             lambda r: F.struct(r["state"].alias("state"), F.array_append(acc["out"], r["out"]).alias("out")),
         )
 
-    return F.aggregate(
-        _runs(items),
-        F.struct(zero.alias("state"), empty_runs.alias("out")),
-        run,
-        lambda acc: F.struct(acc["state"].alias("state"), F.flatten(acc["out"]).alias("out")),
-    )
+    def fold(items: Column) -> Column:
+        return F.aggregate(
+            _runs(items),
+            F.struct(zero.alias("state"), empty_runs.alias("out")),
+            run,
+            lambda acc: F.struct(acc["state"].alias("state"), F.flatten(acc["out"]).alias("out")),
+        )
+
+    return let(items, fold)
 
 
 def running_starts(lengths: Column, base: Column) -> Column:

@@ -14,9 +14,11 @@ from textmill.functions.tokens import (
     Tokenizer,
     WordTokenizer,
     get_tokenizer,
+    is_native,
     nothing_left,
     resize_array,
     resize_fold,
+    resize_one,
 )
 from textmill.operators.ordered import StreamOrder, explode_rows, fold_stream
 
@@ -37,8 +39,7 @@ def resize_chunks(
     """
     found = get_tokenizer(tokenizer)
     payload = ["text", "start", "end"]
-    native = isinstance(found, WordTokenizer) and not any(c.isalnum() for c in delimiters)
-    if native and order.block_rows is not None:
+    if is_native(found, delimiters) and order.block_rows is not None:
         out = fold_stream(
             df,
             order,
@@ -79,4 +80,4 @@ def resize_text(
     chunk = F.struct(
         text.alias("text"), F.lit(0).cast("bigint").alias("start"), F.octet_length(text).cast("bigint").alias("end")
     )
-    return resize_array(F.array(chunk), get_tokenizer(tokenizer), min_tokens, max_tokens, delimiters)
+    return resize_one(chunk, get_tokenizer(tokenizer), min_tokens, max_tokens, delimiters)
