@@ -161,47 +161,71 @@ _VECTORS = (
     f"SELECT object_id || ':' || start || '-' || \"end\" AS id, {_term_vector('text')} AS vector FROM ({_PREPARED})"
 )
 
-# Token-level machine over the turns of a conversation: a turn flushes what reaches the
-# minimum, and a word shared by two turns counts once where text is tokenized afresh.
-_RESIZED_TURNS = rf"""
-WITH RECURSIVE turn_tokens AS (
-  SELECT conv_id, turn, regexp_extract_all(text, '{_TOKEN}') AS t FROM conversations),
+def _resized_stream(source: str, low: int, high: int) -> str:
+    """Token-level machine over chunk streams ``(stream, turn, text, start)``.
+
+    A run of chunks that continue each other is a stream of its own.  The end of a chunk
+    flushes what reaches the minimum, and a word that two chunks share counts once where
+    text is tokenized afresh.
+    """
+    return rf"""
+WITH RECURSIVE linked AS (
+  SELECT *, CASE WHEN start = coalesce(lag(start + strlen(text)) OVER w, 0) THEN 0 ELSE 1 END AS gap
+  FROM ({source}) WINDOW w AS (PARTITION BY stream ORDER BY turn)),
+chunk AS (
+  SELECT stream, turn, text, start, sum(gap) OVER (PARTITION BY stream ORDER BY turn) AS island FROM linked),
+chunk_tokens AS (
+  SELECT stream, island, turn, regexp_extract_all(text, '{_TOKEN}') AS t FROM chunk),
 flat AS (
-  SELECT conv_id, turn, unnest(t) AS tok, generate_subscripts(t, 1) AS j, len(t) AS n FROM turn_tokens),
+  SELECT stream, island, turn, unnest(t) AS tok, generate_subscripts(t, 1) AS j, len(t) AS n FROM chunk_tokens),
 numbered AS (
   SELECT *, row_number() OVER w AS i, (sum(strlen(tok)) OVER w)::BIGINT AS byte_end, lag(tok) OVER w AS before
-  FROM flat WINDOW w AS (PARTITION BY conv_id ORDER BY turn, j)),
+  FROM flat WINDOW w AS (PARTITION BY stream, island ORDER BY turn, j)),
 token AS (
-  SELECT conv_id, i, byte_end, tok IN ({_ENDS}) AS stop, j = n AS closes,
+  SELECT stream, island, i, byte_end, tok IN ({_ENDS}) AS stop, j = n AS closes,
          j = 1 AND coalesce(regexp_matches(before, '[\p{{L}}\p{{N}}]$'), false)
                AND regexp_matches(tok, '^[\p{{L}}\p{{N}}]') AS shared
   FROM numbered),
 run AS (
-  SELECT conv_id, 0::BIGINT AS i, 0::BIGINT AS c, 0::BIGINT AS g, 0::BIGINT AS d, 0::BIGINT AS d_end,
+  SELECT stream, island, 0::BIGINT AS i, 0::BIGINT AS c, 0::BIGINT AS g, 0::BIGINT AS d, 0::BIGINT AS d_end,
          []::BIGINT[] AS cuts
-  FROM (SELECT DISTINCT conv_id FROM token)
+  FROM (SELECT DISTINCT stream, island FROM token)
   UNION ALL
-  SELECT conv_id, i,
-    CASE WHEN flush THEN CASE WHEN c2 < 50 THEN c2 WHEN d2 >= 50 AND g2 - d2 < 50 THEN g2 - d2 ELSE 0 END ELSE c2 END,
-    CASE WHEN flush THEN CASE WHEN c2 < 50 THEN g2 WHEN d2 >= 50 AND g2 - d2 < 50 THEN g2 - d2 ELSE 0 END ELSE g2 END,
-    CASE WHEN flush AND c2 >= 50 THEN 0 ELSE d2 END, d_end2,
-    max_cut || CASE WHEN NOT flush OR c2 < 50 THEN [] WHEN d2 < 50 THEN [byte_end]
-                    WHEN g2 - d2 >= 50 THEN [d_end2, byte_end] ELSE [d_end2] END
-  FROM (SELECT *, closes AS flush,
-          CASE WHEN c1 < 200 THEN c1 WHEN d1 >= 50 THEN g1 - d1 ELSE 0 END AS c2,
-          CASE WHEN c1 < 200 THEN g1 WHEN d1 >= 50 THEN g1 - d1 ELSE 0 END AS g2,
-          CASE WHEN c1 < 200 THEN d1 ELSE 0 END AS d2, d_end1 AS d_end2,
-          CASE WHEN c1 < 200 THEN []::BIGINT[] WHEN d1 >= 50 THEN [d_end1] ELSE [byte_end] END AS max_cut
-        FROM (SELECT *, CASE WHEN stop THEN g1 ELSE d END AS d1,
-                     CASE WHEN stop THEN byte_end ELSE d_end END AS d_end1
+  SELECT stream, island, i,
+    CASE WHEN closes AND c2 >= {low} THEN CASE WHEN d2 >= {low} AND g2 - d2 < {low} THEN g2 - d2 ELSE 0 END
+         ELSE c2 END,
+    CASE WHEN closes AND c2 >= {low} THEN CASE WHEN d2 >= {low} AND g2 - d2 < {low} THEN g2 - d2 ELSE 0 END
+         ELSE g2 END,
+    CASE WHEN closes AND c2 >= {low} THEN 0 ELSE d2 END, d_end,
+    max_cut || CASE WHEN NOT closes OR c2 < {low} THEN [] WHEN d2 < {low} THEN [byte_end]
+                    WHEN g2 - d2 >= {low} THEN [d_end, byte_end] ELSE [d_end] END
+  FROM (SELECT *, CASE WHEN c1 < {high} THEN c1 WHEN d1 >= {low} THEN g1 - d1 ELSE 0 END AS c2,
+          CASE WHEN c1 < {high} THEN g1 WHEN d1 >= {low} THEN g1 - d1 ELSE 0 END AS g2,
+          CASE WHEN c1 < {high} THEN d1 ELSE 0 END AS d2,
+          CASE WHEN c1 < {high} THEN []::BIGINT[] WHEN d1 >= {low} THEN [d_end] ELSE [byte_end] END AS max_cut
+        FROM (SELECT * EXCLUDE (d_end), CASE WHEN stop THEN g1 ELSE d END AS d1,
+                     CASE WHEN stop THEN byte_end ELSE d_end END AS d_end
               FROM (SELECT token.*, run.c + 1 AS c1, run.d, run.d_end,
                            run.g + CASE WHEN shared AND run.c > 0 THEN 0 ELSE 1 END AS g1
-                    FROM run JOIN token ON token.conv_id = run.conv_id AND token.i = run.i + 1)))),
-cut AS (SELECT conv_id, unnest(cuts) AS "end" FROM run),
+                    FROM run JOIN token ON token.stream = run.stream AND token.island = run.island
+                                       AND token.i = run.i + 1)))),
+cut AS (SELECT stream, island, unnest(cuts) AS b FROM run),
 piece AS (
-  SELECT conv_id, coalesce(lag("end") OVER (PARTITION BY conv_id ORDER BY "end"), 0) AS start, "end" FROM cut),
-whole AS (SELECT conv_id, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY conv_id)
-SELECT conv_id, decode({_slice('text', 'start', '"end"')}) AS text, start, "end" FROM piece JOIN whole USING (conv_id)
+  SELECT stream, island, coalesce(lag(b) OVER (PARTITION BY stream, island ORDER BY b), 0) AS a, b FROM cut),
+whole AS (
+  SELECT stream, island, string_agg(text, '' ORDER BY turn) AS text, min(start) AS base
+  FROM chunk GROUP BY stream, island)
+SELECT stream, decode({_slice('text', 'a', 'b')}) AS text, base + a AS start, base + b AS "end"
+FROM piece JOIN whole USING (stream, island)
+"""
+
+
+# Word-healed chunks of small parts as streams.
+_SMALL_HEALED = f"""
+SELECT {{'object_id': object_id, 'part_start': part_start}} AS stream, start AS turn, text, start
+FROM ({_healed(
+    _decoded(1000, 64), "object_id, part_start", 'start, "end"', "object_id, part_start", _WORD_END, _NOT_WORD_END
+)})
 """
 
 
@@ -313,8 +337,11 @@ ORACLE: dict[str, str] = {
         r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]",
         "'>', chr(10)",
     ),
-    "resized_turns": _RESIZED_TURNS,
+    "resized_turns": f"""SELECT stream AS conv_id, text, start, "end"
+        FROM ({_resized_stream(f"SELECT conv_id AS stream, turn, text, start FROM ({_wrapped()})", 50, 200)})""",
     "prepared_chunks": f'SELECT object_id, 0 AS part_start, seq, text, start, "end" FROM ({_PREPARED})',
+    "prepared_small_chunks": f"""SELECT stream.object_id, stream.part_start, text, start, "end"
+        FROM ({_resized_stream(_SMALL_HEALED, 15, 40)})""",
     "quarantined": """SELECT 'documents/' || doc_id AS object_id, 0 AS part_start,
         least(1000, strlen(text) - 1) AS part_end FROM documents
         WHERE strlen(left(text, 1)) > 1 AND strlen(text) > strlen(left(text, 1))""",

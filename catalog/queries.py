@@ -55,7 +55,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Conversations are streams of any length, so their windows run per block of turns.
-TURNS = StreamOrder(keys=("conv_id",), seq="turn", block_rows=64)
+TURNS = StreamOrder(keys=("conv_id",), seq="turn", fold_rows=4)
 SMALL = IngestOptions(part_size=1000, chunk_size=64)
 
 
@@ -335,7 +335,7 @@ def prepared_chunks(spark, folder):
 def prepared_small_chunks(spark, folder):
     """The whole chain with many parts per document and many chunks per part."""
     options = IngestOptions(part_size=1000, chunk_size=64, min_tokens=15, max_tokens=40)
-    return prepare_parts(parts_of_table(objects(spark, folder), options), options).drop("encoding")
+    return prepare_parts(parts_of_table(objects(spark, folder), options), options).drop("encoding", "seq")
 
 
 @query
@@ -455,7 +455,7 @@ def turn_batches(spark, folder):
 @query
 def language_batches(spark, folder):
     """Batches of the largest size both services accept, over one stream per language."""
-    order = StreamOrder(keys=("lang",), seq="doc_id", block_rows=64)
+    order = StreamOrder(keys=("lang",), seq="doc_id")
     size = effective_batch_size(None, EMBED_BATCH_LIMIT, vs.UPSERT_BATCH_LIMIT)
     numbered = number_batches(table(spark, folder, "documents", "lang", "doc_id"), order, size)
     return numbered.groupBy("lang", "batch").agg(

@@ -12,7 +12,7 @@ from textmill.operators.ordered import PART_ORDER, StreamOrder
 from textmill.operators.resize import resize_chunks, resize_text
 from textmill.operators.words import heal_array, heal_words
 
-BLOCKS = StreamOrder(block_rows=3)
+BLOCKS = StreamOrder(block_rows=2, fold_rows=3)
 SPLITS = [
     (c[:i], c[i:])
     for c in [bytes.fromhex(h) for h in "C280 DFBF E0A080 EFBFBF F0908080 F48FBFBF".split()]

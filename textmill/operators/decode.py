@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from textmill.functions import utf8
 from textmill.functions.arrays import fold_with_output, let
-from textmill.functions.text import UTF8_NAMES
 from textmill.functions.tokens import CHUNK
 from textmill.operators.ordered import StreamOrder, fold_stream, previous_row, running_sum
 
@@ -16,7 +15,7 @@ _INVALID = "chunk is not valid UTF-8"
 
 def check_encoding(encoding: str) -> None:
     """Only UTF-8 chunks can be healed."""
-    if encoding.lower() not in UTF8_NAMES:
+    if encoding.lower() != "utf-8":
         raise NotImplementedError("Only utf-8 encoding is supported.")
 
 
@@ -95,6 +94,7 @@ def decode_chunks(
         no_carry(),
         fold=lambda c, s: decode_fold(c, s, on_invalid),
         probe=lambda c, s: decode_fold(c, s, "null"),
+        guess=lambda first: F.struct(first["start"].alias("start"), F.lit(b"").alias("carry")),
     )
     return out.withColumn("encoding", F.lit(encoding))
 

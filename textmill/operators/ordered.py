@@ -8,7 +8,7 @@ per block, and one small row per block carries what the next block needs.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,66 +26,77 @@ _BLOCK_ROOM = 1 << 24
 class StreamOrder:
     """The columns that order a chunk stream.
 
-    ``block_rows`` bounds the rows that one task sorts together.  ``None`` declares that
-    streams are bounded already, as those of one byte-range part are.
+    ``block_rows`` bounds the rows that one task sorts together, and ``fold_rows`` those
+    that a fold gathers into one row; set the latter so that as many chunks fit well
+    into a task's memory.  ``block_rows=None`` declares that streams are bounded
+    already, as those of one byte-range part are.
     """
 
     keys: tuple[str, ...] = ("object_id", "part_start")
     seq: str = "seq"
     block_rows: int | None = 4096
-
-    def block(self) -> Column:
-        return F.floor(F.col(self.seq) / F.lit(self.block_rows)).cast("bigint")
+    fold_rows: int = 64
 
     def rows(self, *extra: str):
         return Window.partitionBy(*self.keys, *extra).orderBy(self.seq)
 
-    def blocks(self):
-        return Window.partitionBy(*self.keys).orderBy(_BLOCK)
+    def ranges(self, rows: int) -> Column:
+        return F.floor(F.col(self.seq) / F.lit(rows)).cast("bigint")
+
+    def of_blocks(self, block: str) -> StreamOrder:
+        """The order of the per-block rows, which form a stream of their own."""
+        return replace(self, seq=block)
 
 
 PART_ORDER = StreamOrder(block_rows=None)
 
+# Blocks of blocks: the one window without a bound sees a stream's rows divided by
+# block_rows once per level and once more.
+_LEVELS = 2
 
-def running_sum(df: DataFrame, order: StreamOrder, value: Column, name: str) -> DataFrame:
+
+def running_sum(
+    df: DataFrame, order: StreamOrder, value: Column, name: str, levels: int = _LEVELS
+) -> DataFrame:
     """Add the sum of ``value`` over the rows before this one (0 for the first)."""
 
     def before(window):
         frame = window.rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(value).over(frame), F.lit(0))
 
-    if order.block_rows is None:
+    if order.block_rows is None or levels == 0:
         return df.withColumn(name, before(order.rows()))
-    keys = [*order.keys, _BLOCK]
-    blocked = df.withColumn(_BLOCK, order.block())
-    totals = blocked.groupBy(*keys).agg(F.sum(value).alias("__total"))
-    frame = order.blocks().rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(*keys, F.coalesce(F.sum("__total").over(frame), F.lit(0)).alias("__base"))
+    block, total, base = (f"__{part}{levels}" for part in ("block", "total", "base"))
+    keys = [*order.keys, block]
+    blocked = df.withColumn(block, order.ranges(order.block_rows))
+    totals = blocked.groupBy(*keys).agg(F.sum(value).alias(total))
+    bases = running_sum(totals, order.of_blocks(block), F.col(total), base, levels - 1)
     return (
-        blocked.join(bases, keys)
-        .withColumn(name, F.col("__base") + before(order.rows(_BLOCK)))
-        .drop("__base", _BLOCK)
+        blocked.join(bases.select(*keys, base), keys)
+        .withColumn(name, F.col(base) + before(order.rows(block)))
+        .drop(base, block)
     )
 
 
-def previous_row(df: DataFrame, order: StreamOrder, value: Column, name: str) -> DataFrame:
+def previous_row(
+    df: DataFrame, order: StreamOrder, value: Column, name: str, levels: int = _LEVELS
+) -> DataFrame:
     """Add ``value`` of the row before this one (NULL for the first of the stream)."""
-    if order.block_rows is None:
+    if order.block_rows is None or levels == 0:
         return df.withColumn(name, F.lag(value).over(order.rows()))
-    keys = [*order.keys, _BLOCK]
-    blocked = df.withColumn(_BLOCK, order.block())
-    last = blocked.groupBy(*keys).agg(F.max_by(value, F.col(order.seq)).alias("__last"))
-    carried = last.select(*keys, F.lag("__last").over(order.blocks()).alias("__carried"))
-    window = order.rows(_BLOCK)
+    block, last, carried = (f"__{part}{levels}" for part in ("block", "last", "carried"))
+    keys = [*order.keys, block]
+    blocked = df.withColumn(block, order.ranges(order.block_rows))
+    ends = blocked.groupBy(*keys).agg(F.max_by(value, F.col(order.seq)).alias(last))
+    links = previous_row(ends, order.of_blocks(block), F.col(last), carried, levels - 1)
+    window = order.rows(block)
     return (
-        blocked.join(carried, keys)
+        blocked.join(links.select(*keys, carried), keys)
         .withColumn(
             name,
-            F.when(F.row_number().over(window) == 1, F.col("__carried")).otherwise(
-                F.lag(value).over(window)
-            ),
+            F.when(F.row_number().over(window) == 1, F.col(carried)).otherwise(F.lag(value).over(window)),
         )
-        .drop("__carried", _BLOCK)
+        .drop(carried, block)
     )
 
 
@@ -105,6 +116,7 @@ def fold_stream(
     zero: Column,
     fold: Callable[[Column, Column], Column],
     probe: Callable[[Column, Column], Column] | None = None,
+    guess: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Run an ordered fold over each stream and return its emitted rows.
 
@@ -114,7 +126,8 @@ def fold_stream(
     Blocks of a long stream run side by side: all start from a guessed state, and only
     those whose predecessor ended differently run again, until none does.  The result
     is exact; the number of rounds is the number of blocks a change travels through.
-    ``probe`` is the fold for those rounds where ``fold`` may fail: a guess must not.
+    ``guess(first chunk)`` is the state to start from, ``zero`` if not given.  ``probe``
+    is the fold for those rounds where ``fold`` may fail: a wrong guess must not.
     """
     keys = list(order.keys)
     item = F.struct(order.seq, *payload)
@@ -125,7 +138,7 @@ def fold_stream(
         if more:
             # A block may emit more rows than it has chunks: the block takes the high bits.
             at = F.when(at < _BLOCK_ROOM, F.col(_BLOCK) * F.lit(_BLOCK_ROOM) + at).otherwise(
-                F.raise_error(F.lit("too many rows in one block; lower block_rows")).cast("bigint")
+                F.raise_error(F.lit("too many rows in one block; lower fold_rows")).cast("bigint")
             )
         return emitted.select(*keys, at.alias(order.seq), "__row.*")
 
@@ -135,16 +148,18 @@ def fold_stream(
 
     block_keys = [*keys, _BLOCK]
     blocks = materialize(
-        df.withColumn(_BLOCK, order.block())
+        df.withColumn(_BLOCK, order.ranges(order.fold_rows))
         .groupBy(*block_keys)
         .agg(F.array_sort(F.collect_list(item)).alias("__chunks"))
     )
     state = (probe or fold)(F.col("__chunks"), F.col("__in"))["state"].alias("__out")
+    begin = guess(F.get("__chunks", F.lit(0))) if guess else zero
 
     def from_previous(states: DataFrame) -> DataFrame:
-        return states.withColumn("__want", F.coalesce(F.lag("__out").over(order.blocks()), zero))
+        linked = previous_row(states, order.of_blocks(_BLOCK), F.col("__out"), "__before")
+        return linked.withColumn("__want", F.coalesce("__before", zero)).drop("__before")
 
-    states = materialize(blocks.withColumn("__in", zero).select(*block_keys, "__in", state))
+    states = materialize(blocks.withColumn("__in", begin).select(*block_keys, "__in", state))
     wanted = from_previous(states)
     stale = ~F.col("__want").eqNullSafe(F.col("__in"))
     while not wanted.filter(stale).isEmpty():

@@ -46,6 +46,7 @@ def resize_chunks(
             payload,
             nothing_left(),
             lambda c, s: resize_fold(c, s, found, min_tokens, max_tokens, delimiters),
+            guess=lambda first: nothing_left(first["start"]),
         )
     elif order.block_rows is not None:
         raise ValueError("external tokenizers need part-bounded streams (block_rows=None)")

@@ -65,8 +65,9 @@ def latest_per_id(vectors: DataFrame, version: str | None = None) -> DataFrame:
     however many there are.
     """
     values = [c for c in vectors.columns if c not in ("id", version)]
-    order = [version, *values] if version else values
-    return vectors.groupBy("id").agg(F.max_by(F.struct(*values), F.struct(*order)).alias("row")).select("id", "row.*")
+    ordered = [version, *values] if version else values
+    latest = vectors.groupBy("id").agg(F.max(F.struct(*ordered)).alias("row"))
+    return latest.select("id", *[f"row.{c}" for c in values])
 
 
 def latest_payload(
