@@ -102,6 +102,30 @@ def _open_store(path: str):
     return fs.FileSystem.from_uri(path)
 
 
+def stat_objects(keys: DataFrame, root: str) -> DataFrame:
+    """Sizes of named objects ``(object_id, key)`` below ``root``: adds ``path, length``.
+
+    One metadata request per object and none for its bytes; a missing object fails the
+    job, so that its message is delivered again.
+    """
+    prefix = root.rstrip("/")
+    schema = pa.schema([("object_id", pa.string()), ("path", pa.string()), ("length", pa.int64())])
+
+    def stat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                path = f"{prefix}/{row['key']}"
+                store, name = _open_store(path)
+                info = store.get_file_info(name)
+                if not info.is_file:
+                    raise FileNotFoundError(path)
+                rows.append({"object_id": row["object_id"], "path": path, "length": info.size})
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return keys.select("object_id", "key").mapInArrow(stat, "object_id string, path string, length bigint")
+
+
 def read_ranges(parts: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Read planned parts ``(object_id, path, start, end)`` by seeking; adds ``data``.
 

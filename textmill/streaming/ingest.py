@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textmill.operators.embedding import EmbeddingProvider
 from textmill.plans.ingest import embed_and_upsert, prepare_parts
 from textmill.plans.options import IngestOptions
 from textmill.sinks.vectors import VectorStore
-from textmill.sources.objects import object_metadata, plan_parts, read_ranges
+from textmill.sources.notifications import parse_notifications
+from textmill.sources.objects import object_metadata, plan_parts, read_ranges, stat_objects
 
 _BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -22,6 +24,20 @@ def arriving_objects(spark: SparkSession, path: str, bucket: str | None = None,
     return object_metadata(files, bucket)
 
 
+def arriving_notifications(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Upload notifications, one JSON message per line of the files that arrive: ``(body)``."""
+    return spark.readStream.options(**options).text(path).select(F.col("value").alias("body"))
+
+
+def parts_of_notified(messages: DataFrame, root: str, options: IngestOptions) -> DataFrame:
+    """Parts of the objects that one micro-batch of notifications names.
+
+    Objects announced more than once are read once.
+    """
+    named = parse_notifications(messages, options.bucket).dropDuplicates(["object_id"])
+    return read_ranges(plan_parts(stat_objects(named, root), options.part_size))
+
+
 def parts_of_arriving(objects: DataFrame, options: IngestOptions) -> DataFrame:
     """Parts of one micro-batch of objects, read by byte range."""
     return read_ranges(plan_parts(objects, options.part_size))
