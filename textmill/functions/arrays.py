@@ -41,7 +41,10 @@ def fold_with_output(
     def one(acc: Column, item: Column) -> Column:
         return let(
             step(acc["state"], item),
-            lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], r["out"]).alias("out")),
+            lambda r: F.struct(
+                r["state"].alias("state"),
+                F.when(F.size(r["out"]) == 0, acc["out"]).otherwise(F.concat(acc["out"], r["out"])).alias("out"),
+            ),
         )
 
     def run(acc: Column, part: Column) -> Column:

@@ -18,25 +18,58 @@ def char_class(characters: str, negate: bool = False) -> str:
     return f"[{'^' if negate else ''}{members}]"
 
 
-def head_run(text: Column, delimiters: str) -> Column:
-    """The text before the first delimiter; the whole text if there is none."""
-    return F.regexp_extract(text, rf"\A{char_class(delimiters, negate=True)}*+", 0)
+# A regular expression turns its whole input into a Java string first.  Most answers lie
+# within this many characters of one end, so a short slice is asked before the text.
+_NEAR = 256
 
 
-def tail_run(text: Column, delimiters: str) -> Column:
-    """The text after the last delimiter; the whole text if there is none.
+def _first(text: Column) -> Column:
+    return F.substring(text, 1, _NEAR)
+
+
+def _last(text: Column) -> Column:
+    return F.substring(text, -_NEAR, _NEAR)
+
+
+def _holds(text: Column, delimiters: str) -> Column:
+    return text.rlike(char_class(delimiters))
+
+
+def _before_first(text: Column, delimiters: str) -> Column:
+    return F.regexp_extract(text, rf"\A{char_class(delimiters, negate=True)}*+", 0)
+
 
-    Reversing first keeps the search anchored, so a long run without a delimiter
-    costs one pass instead of one pass per character.
-    """
-    return F.reverse(head_run(F.reverse(text), delimiters))
+def _after_last(text: Column, delimiters: str) -> Column:
+    # Reversing first keeps the search anchored, so a long run without a delimiter costs
+    # one pass instead of one pass per character.
+    return F.reverse(_before_first(F.reverse(text), delimiters))
 
 
 def has_any(text: Column, delimiters: str) -> Column:
     """True when the text holds at least one of the delimiters."""
     if not delimiters:
         return F.lit(False)
-    return text.rlike(char_class(delimiters))
+    return _holds(_last(text), delimiters) | _holds(text, delimiters)
+
+
+def head_run(text: Column, delimiters: str) -> Column:
+    """The text before the first delimiter; the whole text if there is none."""
+    if not delimiters:
+        return text
+    near = _first(text)
+    return F.when(_holds(near, delimiters), _before_first(near, delimiters)).otherwise(
+        _before_first(text, delimiters)
+    )
+
+
+def tail_run(text: Column, delimiters: str) -> Column:
+    """The text after the last delimiter; the whole text if there is none."""
+    if not delimiters:
+        return text
+    near = _last(text)
+    return F.when(_holds(near, delimiters), _after_last(near, delimiters)).otherwise(
+        _after_last(text, delimiters)
+    )
 
 
 def index_any(
@@ -95,7 +128,8 @@ def byte_length(text: Column, encoding: str = "utf-8") -> Column:
 
 def is_blank(text: Column) -> Column:
     """True for non-empty text of Unicode white space only."""
-    return text.rlike(r"(?U)\A[\s\x1c-\x1f]++\z")
+    blank = r"(?U)\A[\s\x1c-\x1f]++\z"
+    return _first(text).rlike(blank) & text.rlike(blank)
 
 
 def single_line(text: Column) -> Column:

@@ -24,57 +24,50 @@ def no_carry() -> Column:
     return F.struct(F.lit(0).cast("bigint").alias("start"), F.lit(b"").alias("carry"))
 
 
-def decode_fold(chunks: Column, state: Column, on_invalid: str = "fail") -> Column:
-    """Decode ordered chunks ``(data, start, end)``; gives ``struct(state, out)``.
-
-    A chunk that does not continue at the expected byte loses its leading continuation
-    bytes.  Its text keeps the start of the chunk all the same, and the byte expected
-    next is counted from there, so a neighbour of such a chunk is taken for a stranger.
-
-    ``on_invalid="fail"`` fails the job; ``"null"`` emits the range with NULL text.
-    """
+def _decode_step(s: Column, chunk: Column, on_invalid: str) -> Column:
+    """One chunk ``(data, start)`` on top of a state; gives ``struct(state, out)``."""
     if on_invalid not in ("fail", "null"):
         raise ValueError("on_invalid must be 'fail' or 'null'")
     none = F.array().cast(f"array<{CHUNK}>")
+    bad = F.raise_error(F.lit(_INVALID)).cast("string") if on_invalid == "fail" else F.lit(None).cast("string")
+    follows = chunk["start"] == s["start"] + F.octet_length(s["carry"])
+    joined = F.struct(
+        F.when(follows, s["start"]).otherwise(chunk["start"]).alias("start"),
+        F.when(follows, F.concat(s["carry"], chunk["data"]))
+        .otherwise(utf8.lstrip_continuation_bytes(chunk["data"]))
+        .alias("data"),
+    )
 
     def text_of(data: Column) -> Column:
         text = data.cast("string")
-        bad = F.raise_error(F.lit(_INVALID)).cast("string") if on_invalid == "fail" else F.lit(None).cast("string")
         return F.when(F.is_valid_utf8(text), text).otherwise(bad)
 
-    def add_chunk(s: Column, chunk: Column) -> Column:
-        follows = chunk["start"] == s["start"] + F.octet_length(s["carry"])
-        joined = F.struct(
-            F.when(follows, s["start"]).otherwise(chunk["start"]).alias("start"),
-            F.when(follows, F.concat(s["carry"], chunk["data"]))
-            .otherwise(utf8.lstrip_continuation_bytes(chunk["data"]))
-            .alias("data"),
-        )
-        return let(joined, lambda j: let(utf8.truncation_point(j["data"]), lambda cut: split(j, cut)))
-
     def split(j: Column, cut: Column) -> Column:
         # No cut means too many continuation bytes: the whole value is undecodable.
         size = F.octet_length(j["data"])
         stop = F.coalesce(cut, size)
+        end = (j["start"] + stop).cast("bigint")
+        carry = utf8.byte_range(j["data"], stop, size - stop)
+        text = text_of(utf8.byte_range(j["data"], 0, stop))
+        emitted = F.array(F.struct(text.alias("text"), j["start"].alias("start"), end.alias("end")))
         return F.struct(
-            F.struct(
-                (j["start"] + stop).cast("bigint").alias("start"),
-                utf8.byte_range(j["data"], stop, size - stop).alias("carry"),
-            ).alias("state"),
-            F.when(stop == 0, none)
-            .otherwise(
-                F.array(
-                    F.struct(
-                        text_of(utf8.byte_range(j["data"], 0, stop)).alias("text"),
-                        j["start"].alias("start"),
-                        (j["start"] + stop).cast("bigint").alias("end"),
-                    )
-                )
-            )
-            .alias("out"),
+            F.struct(end.alias("start"), carry.alias("carry")).alias("state"),
+            F.when(stop == 0, none).otherwise(emitted).alias("out"),
         )
 
-    return fold_with_output(chunks, state, add_chunk, CHUNK)
+    return let(joined, lambda j: let(utf8.truncation_point(j["data"]), lambda cut: split(j, cut)))
+
+
+def decode_fold(chunks: Column, state: Column, on_invalid: str = "fail") -> Column:
+    """Decode ordered chunks ``(data, start, end)``; gives ``struct(state, out)``.
+
+    A chunk that does not continue at the expected byte loses its leading continuation
+    bytes.  Its text keeps the start of the chunk all the same, and the byte expected
+    next is counted from there, so a neighbour of such a chunk is taken for a stranger.
+
+    ``on_invalid="fail"`` fails the job; ``"null"`` emits the range with NULL text.
+    """
+    return fold_with_output(chunks, state, lambda s, chunk: _decode_step(s, chunk, on_invalid), CHUNK)
 
 
 def decode_array(chunks: Column, on_invalid: str = "fail") -> Column:
@@ -82,6 +75,12 @@ def decode_array(chunks: Column, on_invalid: str = "fail") -> Column:
     return decode_fold(chunks, no_carry(), on_invalid)["out"]
 
 
+def decode_one(data: Column, start: Column, on_invalid: str = "fail") -> Column:
+    """Decode a single chunk that is a whole stream by itself; gives an array of chunks."""
+    chunk = F.struct(data.alias("data"), start.alias("start"))
+    return let(chunk, lambda c: _decode_step(no_carry(), c, on_invalid))["out"]
+
+
 def decode_chunks(
     df: DataFrame, order: StreamOrder, encoding: str = "utf-8", on_invalid: str = "fail"
 ) -> DataFrame:

@@ -152,11 +152,12 @@ def fold_stream(
         .groupBy(*block_keys)
         .agg(F.array_sort(F.collect_list(item)).alias("__chunks"))
     )
-    state = (probe or fold)(F.col("__chunks"), F.col("__in"))["state"].alias("__out")
+    final = fold(F.col("__chunks"), F.col("__in"))
+    state = (probe(F.col("__chunks"), F.col("__in")) if probe else final)["state"].alias("__out")
     begin = guess(F.get("__chunks", F.lit(0))) if guess else zero
 
     def from_previous(states: DataFrame) -> DataFrame:
-        linked = previous_row(states, order.of_blocks(_BLOCK), F.col("__out"), "__before")
+        linked = previous_row(states, order.of_blocks(_BLOCK), F.col("__out"), "__before", levels=1)
         return linked.withColumn("__want", F.coalesce("__before", zero)).drop("__before")
 
     states = materialize(blocks.withColumn("__in", begin).select(*block_keys, "__in", state))
@@ -169,7 +170,7 @@ def fold_stream(
         states = materialize(kept.unionByName(redone))
         wanted = from_previous(states)
     folded = blocks.join(states.select(*block_keys, "__in"), block_keys).select(
-        *block_keys, fold(F.col("__chunks"), F.col("__in")).alias("__fold")
+        *block_keys, final.alias("__fold")
     )
     return rows(folded, [_BLOCK])
 

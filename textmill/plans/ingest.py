@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.tokens import get_tokenizer, resize_array
-from textmill.operators.decode import check_encoding, decode_array
+from textmill.operators.decode import check_encoding, decode_array, decode_one
 from textmill.operators.embedding import EmbeddingProvider, assemble_vectors, embed_chunks, get_provider
 from textmill.operators.ordered import explode_rows
 from textmill.operators.words import heal_array
@@ -24,11 +24,17 @@ def decode_parts(parts: DataFrame, options: IngestOptions) -> DataFrame:
     """Parts ``(object_id, start, end, data)`` with their decoded chunks as an array."""
     check_encoding(options.encoding)
     policy = "fail" if options.on_invalid == "fail" else "null"
+    if options.one_chunk:
+        fits = F.octet_length("data") <= options.chunk_size
+        oversize = F.raise_error(F.lit("part is larger than part_size")).cast("binary")
+        decoded = decode_one(F.when(fits, F.col("data")).otherwise(oversize), F.col("start"), policy)
+    else:
+        decoded = decode_array(chunk_array(options.chunk_size), policy)
     return parts.select(
         "object_id",
         F.col("start").alias("part_start"),
         F.col("end").alias("part_end"),
-        decode_array(chunk_array(options.chunk_size), policy).alias("decoded"),
+        decoded.alias("decoded"),
     )
 
 
@@ -54,6 +60,7 @@ def prepare_parts(parts: DataFrame, options: IngestOptions = IngestOptions()) ->
         options.min_tokens,
         options.max_tokens,
         options.preferred_delimiters,
+        at_most_one=options.one_chunk,
     )
     return explode_rows(healed, ["object_id", "part_start"], resized, "seq", "chunk").select(
         "object_id",

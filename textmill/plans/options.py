@@ -40,3 +40,8 @@ class IngestOptions:
         check_sizes(self.part_size, self.chunk_size)
         if self.on_invalid not in ("fail", "quarantine"):
             raise ValueError("on_invalid must be 'fail' or 'quarantine'")
+
+    @property
+    def one_chunk(self) -> bool:
+        """True when a part is never larger than a chunk, as by default."""
+        return self.chunk_size >= self.part_size
