@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Arrays grown one element at a time copy themselves; growing them in runs of this
 # length keeps the copying linear in the number of elements.
-RUN = 256
+RUN = 64
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -66,10 +66,25 @@ def fold_with_output(
 
 def running_starts(lengths: Column, base: Column) -> Column:
     """Exclusive running sum: element i is ``base`` plus the lengths before i."""
-    folded = fold_with_output(
-        lengths,
-        base.cast("bigint"),
-        lambda at, length: F.struct((at + length).cast("bigint").alias("state"), F.array(at).alias("out")),
-        "bigint",
+
+    def sums(at: Column, part: Column) -> Column:
+        """The position ``at`` and the position after each length."""
+        return F.aggregate(
+            part,
+            F.array(at),
+            lambda acc, length: F.array_append(acc, F.try_element_at(acc, F.lit(-1)) + length),
+        )
+
+    def run(acc: Column, part: Column) -> Column:
+        return let(
+            sums(acc["at"], part),
+            lambda s: F.struct(
+                F.try_element_at(s, F.lit(-1)).alias("at"),
+                F.array_append(acc["out"], F.slice(s, F.lit(1), F.size(s) - 1)).alias("out"),
+            ),
+        )
+
+    start = F.struct(
+        base.cast("bigint").alias("at"), F.array().cast("array<array<bigint>>").alias("out")
     )
-    return folded["out"]
+    return let(lengths, lambda ls: F.aggregate(_runs(ls), start, run, lambda acc: F.flatten(acc["out"])))

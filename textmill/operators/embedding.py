@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,32 +83,31 @@ def client_provider(
 _TERM = r"[\p{L}\p{N}]+"
 
 
-def term_buckets(text: Column, dimension: int) -> Column:
-    """Bucket of each term of a text, from the first 32 bits of its MD5."""
-    return F.transform(
-        F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)),
-        lambda t: (F.conv(F.substring(F.md5(t.cast("binary")), 1, 8), 16, 10).cast("bigint") % dimension).cast("int"),
-    )
-
-
 def term_hash_provider(dimension: int = 64) -> EmbeddingProvider:
     """Term counts hashed to a fixed number of buckets: needs no model and no service.
 
-    Terms are cut and hashed in the JVM; the worker only counts, a whole Arrow batch at
-    a time.
+    A term's bucket comes from the first 32 bits of its MD5.  Terms are cut in the JVM;
+    the worker hashes each distinct term of an Arrow batch once and counts by array.
     """
 
     @F.arrow_udf("array<float>")
-    def count(buckets: pa.Array) -> pa.Array:
-        lengths = pa.compute.list_value_length(buckets).to_numpy(zero_copy_only=False)
-        rows = np.repeat(np.arange(len(buckets), dtype=np.int64), lengths)
-        cells = rows * dimension + buckets.flatten().to_numpy(zero_copy_only=False)
-        counts = np.bincount(cells, minlength=len(buckets) * dimension).astype(np.float32)
+    def count(terms: pa.Array) -> pa.Array:
+        coded = terms.flatten().dictionary_encode()
+        buckets = np.array(
+            [int(md5(t.encode(), usedforsecurity=False).hexdigest()[:8], 16) % dimension for t in coded.dictionary.to_pylist()],
+            dtype=np.int64,
+        )
+        lengths = pa.compute.list_value_length(terms).fill_null(0).to_numpy(zero_copy_only=False)
+        rows = np.repeat(np.arange(len(terms), dtype=np.int64), lengths)
+        cells = rows * dimension + buckets[coded.indices.to_numpy(zero_copy_only=False)]
+        counts = np.bincount(cells, minlength=len(terms) * dimension).astype(np.float32)
         offsets = np.arange(0, len(counts) + 1, dimension, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts))
 
     return EmbeddingProvider(
-        f"term-hash-{dimension}", dimension, lambda text: count(term_buckets(text, dimension))
+        f"term-hash-{dimension}",
+        dimension,
+        lambda text: count(F.regexp_extract_all(text, F.lit(_TERM), F.lit(0))),
     )
 
 
