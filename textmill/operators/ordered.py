@@ -41,7 +41,8 @@ class StreamOrder:
         return Window.partitionBy(*self.keys, *extra).orderBy(self.seq)
 
     def ranges(self, rows: int) -> Column:
-        return F.floor(F.col(self.seq) / F.lit(rows)).cast("bigint")
+        seq = F.col(self.seq).cast("bigint")
+        return F.call_function("div", seq - F.pmod(seq, F.lit(rows)), F.lit(rows))
 
     def of_blocks(self, block: str) -> StreamOrder:
         """The order of the per-block rows, which form a stream of their own."""
@@ -72,7 +73,7 @@ def running_sum(
     totals = blocked.groupBy(*keys).agg(F.sum(value).alias(total))
     bases = running_sum(totals, order.of_blocks(block), F.col(total), base, levels - 1)
     return (
-        blocked.join(bases.select(*keys, base), keys)
+        blocked.join(bases.select(*keys, base), keys, "left")
         .withColumn(name, F.col(base) + before(order.rows(block)))
         .drop(base, block)
     )
@@ -91,7 +92,7 @@ def previous_row(
     links = previous_row(ends, order.of_blocks(block), F.col(last), carried, levels - 1)
     window = order.rows(block)
     return (
-        blocked.join(links.select(*keys, carried), keys)
+        blocked.join(links.select(*keys, carried), keys, "left")
         .withColumn(
             name,
             F.when(F.row_number().over(window) == 1, F.col(carried)).otherwise(F.lag(value).over(window)),
@@ -123,9 +124,13 @@ def fold_stream(
     ``fold(chunks, state)`` gives ``struct(state, out)``.  Rows come back with the
     stream keys, a new ``seq`` and the fields of ``out``.
 
-    Blocks of a long stream run side by side: all start from a guessed state, and only
-    those whose predecessor ended differently run again, until none does.  The result
-    is exact; the number of rounds is the number of blocks a change travels through.
+    Blocks of a long stream run side by side.  Every block is folded from a guessed
+    state, then from each state its predecessor was seen to end in, until no block ends
+    in a state its successor has not been folded from; following those results from the
+    first block gives the true states.  The result is exact.  Texts whose cuts fall in
+    step again soon need two rounds, and no text more than there are states a boundary
+    can have, however many blocks there are.
+
     ``guess(first chunk)`` is the state to start from, ``zero`` if not given.  ``probe``
     is the fold for those rounds where ``fold`` may fail: a wrong guess must not.
     """
@@ -147,8 +152,12 @@ def fold_stream(
         return rows(whole.select(*keys, fold(F.col("__chunks"), zero).alias("__fold")), [])
 
     block_keys = [*keys, _BLOCK]
+    # An explicit number of tasks: folding is heavy for its bytes, and partitions merged
+    # by size would leave most cores idle.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = materialize(
         df.withColumn(_BLOCK, order.ranges(order.fold_rows))
+        .repartition(tasks, *block_keys)
         .groupBy(*block_keys)
         .agg(F.array_sort(F.collect_list(item)).alias("__chunks"))
     )
@@ -156,25 +165,64 @@ def fold_stream(
     state = (probe(F.col("__chunks"), F.col("__in")) if probe else final)["state"].alias("__out")
     begin = guess(F.get("__chunks", F.lit(0))) if guess else zero
 
-    def from_previous(states: DataFrame) -> DataFrame:
-        linked = previous_row(states, order.of_blocks(_BLOCK), F.col("__out"), "__before", levels=1)
-        return linked.withColumn("__want", F.coalesce("__before", zero)).drop("__before")
-
-    states = materialize(blocks.withColumn("__in", begin).select(*block_keys, "__in", state))
-    wanted = from_previous(states)
-    stale = ~F.col("__want").eqNullSafe(F.col("__in"))
-    while not wanted.filter(stale).isEmpty():
-        again = wanted.filter(stale).select(*block_keys, F.col("__want").alias("__in"))
-        redone = blocks.join(again, block_keys).select(*block_keys, "__in", state)
-        kept = wanted.filter(~stale).select(*block_keys, "__in", "__out")
-        states = materialize(kept.unionByName(redone))
-        wanted = from_previous(states)
-    folded = blocks.join(states.select(*block_keys, "__in"), block_keys).select(
-        *block_keys, final.alias("__fold")
+    links = previous_row(
+        blocks.select(*block_keys), order.of_blocks(_BLOCK), F.col(_BLOCK), "__previous", levels=1
     )
+    seen = materialize(blocks.withColumn("__in", begin).select(*block_keys, "__in", state))
+    while True:
+        wanted = _next_states(links, seen, block_keys, zero)
+        new = wanted.join(seen.select(*block_keys, "__in"), [*block_keys, "__in"], "left_anti")
+        if new.isEmpty():
+            break
+        more = blocks.join(new, block_keys).select(*block_keys, "__in", state)
+        seen = materialize(seen.unionByName(more))
+    states = _true_states(links, seen, wanted, block_keys)
+    folded = blocks.join(states, block_keys).select(*block_keys, final.alias("__fold"))
     return rows(folded, [_BLOCK])
 
 
+def _next_states(links: DataFrame, seen: DataFrame, block_keys: list[str], zero: Column) -> DataFrame:
+    """The states every block may start from: those its predecessor was seen to end in."""
+    *keys, block = block_keys
+    ended = seen.select(*keys, F.col(block).alias("__previous"), F.col("__out").alias("__in"))
+    first = links.filter(F.col("__previous").isNull()).select(*block_keys, zero.alias("__in"))
+    rest = links.join(ended, [*keys, "__previous"]).select(*block_keys, "__in")
+    return first.unionByName(rest).distinct()
+
+
+def _true_states(links: DataFrame, seen: DataFrame, wanted: DataFrame, block_keys: list[str]) -> DataFrame:
+    """The one state each block starts from, by pointer doubling from the first blocks."""
+    if wanted.groupBy(*block_keys).count().filter("count > 1").isEmpty():
+        return wanted
+    *keys, block = block_keys
+    node = [*block_keys, "__in"]
+    following = links.select(*keys, F.col("__previous").alias(block), F.col(block).alias("__to"))
+    leap = seen.join(following, block_keys).select(*node, "__to", F.col("__out").alias("__to_in"))
+    first = links.filter(F.col("__previous").isNull()).select(*block_keys)
+    reached = wanted.join(first, block_keys, "left_semi")
+    size = 0
+    leap, reached = materialize(leap), materialize(reached)
+    while (grown := reached.count()) > size:
+        size = grown
+        beyond = reached.join(leap, node).select(
+            *keys, F.col("__to").alias(block), F.col("__to_in").alias("__in")
+        )
+        reached = materialize(reached.unionByName(beyond).distinct())
+        second = leap.select(
+            *keys,
+            F.col(block).alias("__to"),
+            F.col("__in").alias("__to_in"),
+            F.col("__to").alias("__end"),
+            F.col("__to_in").alias("__end_in"),
+        )
+        leap = materialize(
+            leap.join(second, [*keys, "__to", "__to_in"]).select(
+                *node, F.col("__end").alias("__to"), F.col("__end_in").alias("__to_in")
+            )
+        )
+    return reached
+
+
 def in_order(order: StreamOrder, *streams: DataFrame) -> DataFrame:
     """Concatenate streams: all rows of the first, then all rows of the next.
 
