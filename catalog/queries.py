@@ -55,7 +55,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Conversations are streams of any length, so their windows run per block of turns.
-TURNS = StreamOrder(keys=("conv_id",), seq="turn", fold_rows=4)
+TURNS = StreamOrder(keys=("conv_id",), seq="turn")
 SMALL = IngestOptions(part_size=1000, chunk_size=64)
 
 

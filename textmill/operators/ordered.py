@@ -168,6 +168,9 @@ def fold_stream(
     links = previous_row(
         blocks.select(*block_keys), order.of_blocks(_BLOCK), F.col(_BLOCK), "__previous", levels=1
     )
+    if links.filter(F.col("__previous").isNotNull()).isEmpty():
+        whole = blocks.withColumn("__in", zero).select(*block_keys, final.alias("__fold"))
+        return rows(whole, [_BLOCK])
     seen = materialize(blocks.withColumn("__in", begin).select(*block_keys, "__in", state))
     while True:
         wanted = _next_states(links, seen, block_keys, zero)
