@@ -93,6 +93,17 @@ def test_files(spark, folder):
     assert bodies["up/a.txt"] == TEXT.encode()
 
 
+def test_keys_of_nested_files(spark, folder):
+    (folder / "sub dir").mkdir()
+    (folder / "sub dir" / "a.txt").write_text("inner")
+    listed = list_objects(spark, str(folder), "up", recursiveFileLookup="true").collect()
+    assert {"up/a.txt", "up/sub dir/a.txt"} <= {r.object_id for r in listed}
+    one = list_objects(spark, str(folder / "a.txt"), "up").first()
+    assert one.object_id == "up/a.txt"
+    parts = parts_of_files(spark, str(folder), IngestOptions(bucket="up"), recursiveFileLookup="true").collect()
+    assert {bytes(r.data) for r in parts if r.object_id == "up/sub dir/a.txt"} == {b"inner"}
+
+
 def test_parts(spark, folder):
     options = IngestOptions(part_size=100, bucket="up")
     data = {f"up/{f.name}": f.read_bytes() for f in folder.iterdir()}

@@ -28,29 +28,39 @@ def check_sizes(part_size: int, chunk_size: int) -> None:
         raise ValueError("chunk_size must be at least 1")
 
 
+def _object_id(spark: SparkSession, root: str, bucket: str | None) -> Column:
+    """``bucket/key`` with the path below the root as key, or the path itself."""
+    if bucket is None:
+        return F.col("path")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    prefix = system.makeQualified(folder).toString().rstrip("/") + "/"
+    below = F.substring("path", len(prefix) + 1, 1 << 30)
+    # A root that names one file, or a pattern, has no path below it.
+    key = F.when(F.startswith("path", F.lit(prefix)), below).otherwise(F.substring_index("path", "/", -1))
+    return F.concat(F.lit(f"{bucket}/"), key)
+
+
 def list_objects(spark: SparkSession, path: str, bucket: str | None = None, **options: str) -> DataFrame:
     """Files as objects, metadata only: ``(object_id, path, length)``.
 
     The content column is never selected, so no file is opened.  With ``bucket`` the id
-    is ``bucket/file-name``; otherwise it is the path.
+    is ``bucket/key`` and the key is the path below the folder; otherwise it is the path.
     """
     files = spark.read.format("binaryFile").options(**options).load(path)
-    return object_metadata(files, bucket)
+    return object_metadata(files, path, bucket)
 
 
-def object_metadata(files: DataFrame, bucket: str | None = None) -> DataFrame:
+def object_metadata(files: DataFrame, root: str, bucket: str | None = None) -> DataFrame:
     """Object id and size of rows of the binary file source (batch or stream)."""
-    name = F.substring_index("path", "/", -1)
-    object_id = F.concat(F.lit(f"{bucket}/"), name) if bucket else F.col("path")
+    object_id = _object_id(files.sparkSession, root, bucket)
     return files.select(object_id.alias("object_id"), "path", "length")
 
 
 def read_objects(spark: SparkSession, path: str, bucket: str | None = None, **options: str) -> DataFrame:
     """Files as objects with their whole body: ``(object_id, length, content)``."""
     files = spark.read.format("binaryFile").options(**options).load(path)
-    name = F.substring_index("path", "/", -1)
-    object_id = F.concat(F.lit(f"{bucket}/"), name) if bucket else F.col("path")
-    return files.select(object_id.alias("object_id"), "length", "content")
+    return files.select(_object_id(spark, path, bucket).alias("object_id"), "length", "content")
 
 
 def objects_from_table(df: DataFrame, bucket: str, key: Column, text: Column) -> DataFrame:

@@ -21,7 +21,7 @@ _BINARY_FILE = "path string, modificationTime timestamp, length bigint, content
 def arriving_objects(spark: SparkSession, path: str, bucket: str | None = None, **options: str) -> DataFrame:
     """New files of a folder as a stream of object metadata; contents stay unread."""
     files = spark.readStream.format("binaryFile").schema(_BINARY_FILE).options(**options).load(path)
-    return object_metadata(files, bucket)
+    return object_metadata(files, path, bucket)
 
 
 def arriving_notifications(spark: SparkSession, path: str, **options: str) -> DataFrame:
