@@ -162,19 +162,25 @@ def least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(reach[:n], reach[width - span : width - span + n])
 
 
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part a key belongs to.  Keys are often least values, so they are mixed once more."""
+    spread = mixed(keys ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(32)
+    return (spread * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
 def _deal(keys_of: Callable[[Block], tuple[np.ndarray, np.ndarray]], parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, row in rows_of(batches):
             block = Block(batch, row)
             keys, known = keys_of(block)
-            part = (keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+            part = part_of(keys, parts)
             order = np.argsort(part, kind="stable")
             keys, known, part = keys[order], known[order], part[order]
             there, first = np.unique(part, return_index=True)
             ends = np.append(first[1:], len(part))
             yield pa.RecordBatch.from_pydict(
                 {
-                    "part": pa.array(there.astype(np.int64)),
+                    "part": pa.array(there),
                     "block": pa.array(np.full(len(there), block.number)),
                     "keys": pa.array([keys[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),
                     "known": pa.array([known[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Block, Rolling, block_table, least, numbers, repeated_keys, rows_of, with_replies
+from .blocks import Block, Rolling, block_table, least, numbers, part_of, repeated_keys, rows_of, with_replies
 from .common import SPACES, shuffle_partitions, staged
 
 #: Words of a run; words of an anchor within it.
@@ -88,12 +88,14 @@ def _index_entries(parts: int):
             words = Words(block)
             used = np.isin(words.anchors, shared)
             runs, ids = _least_id(words.runs[used], block.order()[words.doc[words.at[used]]])
-            part = (runs >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-            there, first = np.unique(part, return_index=True)  # runs are sorted, so parts are
+            part = part_of(runs, parts)
+            order = np.lexsort((runs, part))
+            runs, ids, part = runs[order], ids[order], part[order]
+            there, first = np.unique(part, return_index=True)
             cells = list(zip(first, np.append(first[1:], len(part)), strict=True))
             yield pa.RecordBatch.from_pydict(
                 {
-                    "part": pa.array(there.astype(np.int64)),
+                    "part": pa.array(there),
                     "block": pa.array(np.full(len(there), block.number)),
                     "runs": pa.array([runs[a:b].tobytes() for a, b in cells], pa.binary()),
                     "ids": pa.array([ids[a:b].tobytes() for a, b in cells], pa.binary()),

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Block, Rolling, block_table, least, numbers, repeated_keys, rows_of, with_replies
+from .blocks import Block, Rolling, block_table, least, numbers, part_of, repeated_keys, rows_of, with_replies
 from .common import shuffle_partitions, staged
 
 #: Bytes of a repeated string; bytes of the strings that give its key.
@@ -29,7 +29,7 @@ LENGTH, ANCHOR = 200, 100
 PERIOD = 31
 COVER = np.array([1, 5, 11, 24, 25, 27])
 #: Text a bucket sorts at a time.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 1 << 20
 
 
 def _meeting_distances() -> np.ndarray:
@@ -188,10 +188,9 @@ def _deal_stretches(parts: int):
             raw = memoryview(block.raw)
             places = np.split(starts[order].astype(np.int32), first[1:])
             own = order[first]
-            part = (keys[own] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "part": pa.array(part.astype(np.int64)),
+                    "part": pa.array(part_of(keys[own], parts)),
                     "key": pa.array(keys[own].view(np.int64)),
                     "block": pa.array(np.full(len(first), block.number)),
                     "starts": pa.array(places, pa.list_(pa.int32())),
