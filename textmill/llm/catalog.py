@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import oracle
 from .common import table
+from .extraction import extract_main_text, fit_labeller
 from .factors import remove_copied_words
 from .fingerprints import fingerprint_edits
 from .language import fit_languages, identify
@@ -20,6 +21,11 @@ from .suffixes import remove_repeated_bytes
 from .topk import quantised, top_k
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract_main_text(pages, fit_labeller(pages))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -106,6 +112,7 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_main_text": op1_main_text,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_repeated_bytes": op3_repeated_bytes,
     "op4_copied_words": op4_copied_words,
