@@ -44,7 +44,7 @@ CHUNK = 128
 class Shingles:
     """Runs of words of some texts: ``runs`` and the text of each, and a hash of each text's words."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, with_runs: bool = True):
         texts = texts.cast(pa.large_binary()).fill_null(b"")
         bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         raw = texts.buffers()[2]
@@ -56,6 +56,8 @@ class Shingles:
         last = first + self.n_words
         whole = rolling.stretches(first, last) + self.n_words.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         self.nodes = mixed(whole)
+        if not with_runs:
+            return
         runs = rolling.every(SHINGLE)
         inside = np.flatnonzero(words.doc[: len(runs)] == words.doc[SHINGLE - 1 :]) if len(runs) else np.zeros(0, np.int64)
         # A text of fewer words is one run of all it has.
@@ -133,8 +135,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_slices(batches, "text"):
-        nodes = Shingles(batch.column(batch.schema.get_field_index("text"))).nodes.view(np.int64)
+    for batch in text_slices(batches, "text", 1 << 20):
+        nodes = Shingles(batch.column(batch.schema.get_field_index("text")), False).nodes.view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(nodes), *batch.columns], names=["node", *batch.schema.names])
 
 
