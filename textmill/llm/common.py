@@ -50,7 +50,7 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def text_slices(batches, text_col: str, size: int = 16 << 20):
+def text_slices(batches, text_col: str, size: int = 6 << 20):
     """Arrow batches again, cut so that a slice holds about ``size`` bytes of text or one row."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text_col))), 0)
@@ -78,7 +78,7 @@ def distinct_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 class WordCache:
     """Rows of numbers for words, computed once each; emptied when it has ``most`` words."""
 
-    def __init__(self, compute, most: int = 1_000_000):
+    def __init__(self, compute, most: int = 700_000):
         self.compute, self.most = compute, most
         self.places: dict[str, int] = {}
         self.parts: list = []
