@@ -50,7 +50,7 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def text_slices(batches, text_col: str, size: int = 6 << 20):
+def text_slices(batches, text_col: str, size: int = 4 << 20):
     """Arrow batches again, cut so that a slice holds about ``size`` bytes of text or one row."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text_col))), 0)
@@ -61,6 +61,7 @@ def text_slices(batches, text_col: str, size: int = 6 << 20):
             stop = max(start + 1, int(np.searchsorted(ends, base + size, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+            pa.default_memory_pool().release_unused()
 
 
 def distinct_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -78,7 +79,7 @@ def distinct_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 class WordCache:
     """Rows of numbers for words, computed once each; emptied when it has ``most`` words."""
 
-    def __init__(self, compute, most: int = 700_000):
+    def __init__(self, compute, most: int = 250_000):
         self.compute, self.most = compute, most
         self.places: dict[str, int] = {}
         self.parts: list = []
@@ -95,7 +96,8 @@ class WordCache:
             at = len(self.places)
             missing = [w for w, place in zip(names, found, strict=True) if place < 0]
             self.places.update(zip(missing, range(at, at + new), strict=True))
-            self.parts.append(self.compute(missing))
+            # In portions, because a word takes far more memory on the way than in the end.
+            self.parts += [self.compute(missing[a : a + 20_000]) for a in range(0, new, 20_000)]
             found = np.array(found, np.int64)
             found[found < 0] = np.arange(at, at + new)
         return np.asarray(found, np.int64)

@@ -80,7 +80,7 @@ class Lattice:
         lengths = np.array([len(w) for w in marked], np.int64)
         for length in np.unique(lengths):
             places = np.flatnonzero(lengths == length)
-            step = max(1, 2_000_000 // int(length))
+            step = max(1, 300_000 // int(length))
             for a in range(0, len(places), step):
                 part = places[a : a + step]
                 yield part, _codes("".join(marked[i] for i in part)).reshape(len(part), length)
