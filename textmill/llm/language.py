@@ -213,13 +213,13 @@ class _Scorer:
         return likely / likely.sum(1, keepdims=True)
 
 
-def _predict(model: LanguageModel):
+def _predict(model: LanguageModel, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None
-        for batch in text_slices(batches, "__text"):
+        for batch in text_slices(batches, text):
             scorer = scorer or _Scorer(model)
             get = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: E731, B023
-            share = scorer.posteriors(get("__text"))
+            share = scorer.posteriors(get(text))
             best = share.argmax(1)
             lettered = get("__lettered").to_numpy(zero_copy_only=False)
             names = np.array([*model.languages, UNKNOWN], object)
@@ -244,9 +244,12 @@ def identify(docs: DataFrame, model: LanguageModel, keep: Sequence[str] = ("doc_
     clash = {"held_out", "lang_pred", "score"} & set(keep)
     if clash:
         raise ValueError(f"cannot keep columns named like results: {sorted(clash)}")
-    kept = docs.select(*keep, held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("__text"))
+    kept = docs.select(*keep, held_out(F.col("doc_id")).alias("held_out"))
     if not model.languages:
-        return kept.drop("__text").withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
-    rows = kept.withColumn("__lettered", F.coalesce(F.col("__text").rlike(r"\p{L}"), F.lit(False)))
-    schema = kept.drop("__text").schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(_predict(model), schema)
+        return kept.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__lettered")
+    # A text that is kept travels once.
+    text = "text" if "text" in keep else "__text"
+    extra = [lettered] if text in keep else [lettered, F.col("text").cast("string").alias(text)]
+    rows = docs.select(*keep, held_out(F.col("doc_id")).alias("held_out"), *extra)
+    return rows.mapInArrow(_predict(model, text), kept.schema.add("lang_pred", "string").add("score", "double"))

@@ -121,7 +121,7 @@ def band_keys(kept: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_slices(batches, "text", 1 << 20):
+    for batch in text_slices(batches, "text", 1 << 19):
         found = Shingles(batch.column(batch.schema.get_field_index("text")))
         keys = band_keys(signatures(found.doc, found.cells(), batch.num_rows)).view(np.int64)
         bands = [k if n else [] for k, n in zip(keys, found.n_words.tolist(), strict=True)]
@@ -164,7 +164,8 @@ def alike(one: np.ndarray, other: np.ndarray) -> bool:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    # Similar texts are of similar length, so the sizes of one side bound those of the other.
+    for batch in text_slices(text_slices(batches, "text", 1 << 19), "hub_text", 1 << 19):
         get = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: E731, B023
         sides = []
         for name in ("text", "hub_text"):

@@ -17,9 +17,12 @@ LEAST_SCORE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; the others have no letters or fit no language well."""
-    rows = docs.select("doc_id", "text", F.struct("*").alias("row"))
-    judged = identify(rows, fit_languages(docs), keep=("row",))
-    return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    # Other columns may have the names of results.
+    others = {c: f"__{i}" for i, c in enumerate(docs.columns) if c != "text"}
+    rows = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(n) for c, n in others.items()])
+    judged = identify(rows, fit_languages(docs), keep=("text", *others.values()))
+    known = judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return known.select(*[F.col(others.get(c, c)).alias(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
