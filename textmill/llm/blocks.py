@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from textmill.session import shared_folder
 
-from .common import shuffle_partitions
+from .common import give_back, shuffle_partitions
 
 BLOCK_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -47,6 +47,7 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
     for batch in batches:
         for row in range(batch.num_rows):
             yield batch, row
+        give_back()
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

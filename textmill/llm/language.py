@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, distinct_words, text_slices
+from .common import WordCache, distinct_words, give_back, text_slices
 
 #: Bounds of the training sample: documents and distinct words of each language.
 SAMPLE_DOCS, SAMPLE_WORDS = 2_000, 30_000
@@ -228,6 +228,8 @@ def _predict(model: LanguageModel, text: str):
             columns = [get(n) for n in kept]
             columns += [pa.array(names[np.where(lettered, best, len(names) - 1)], pa.string()), pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, "lang_pred", "score"])
+        del scorer
+        give_back()
 
     return run
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .blocks import Rolling, mixed
-from .common import shuffle_partitions, staged, text_slices
+from .common import give_back, staged, text_slices
 from .components import components
 from .factors import Words
 
@@ -188,6 +188,7 @@ def _compare_all(table: pa.Table) -> pa.Table:
         for j in (one[one > i] if lone else np.flatnonzero(~left)).tolist():
             if alike(runs[i], runs[j]):
                 out.append((nodes[i], nodes[j]))
+    give_back()
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
@@ -262,8 +263,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class of ``near_duplicates``, all columns."""
     kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("node").alias("__node"))
-    rows = docs.select(F.col("text").cast("string"), F.col("doc_id").alias("__doc"), F.struct("*").alias("row"))
-    named = with_nodes(rows).drop("text")
-    found = named.join(kept, (F.col("node") == F.col("__node")) & F.col("__doc").eqNullSafe(F.col("__id")))
+    # Other columns may have the names of ours; the text travels once.
+    others = {c: f"__{i}" for i, c in enumerate(docs.columns) if c != "text"}
+    rows = docs.select(F.col("text").cast("string"), *[F.col(f"`{c}`").alias(n) for c, n in others.items()])
+    own = F.col(others["doc_id"])
+    found = with_nodes(rows).join(kept, (F.col("node") == F.col("__node")) & own.eqNullSafe(F.col("__id")))
     # Rows may repeat, id and words alike; any one of them stays.
-    return found.dropDuplicates(["__node", "__id"]).select("row.*")
+    one = found.dropDuplicates(["__node", "__id"])
+    return one.select(*[F.col(others.get(c, c)).alias(c) for c in docs.columns])

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import Block, Rolling, block_table, least, numbers, part_of, repeated_keys, rows_of, with_replies
-from .common import shuffle_partitions, staged
+from .common import give_back, shuffle_partitions, staged
 
 #: Bytes of a repeated string; bytes of the strings that give its key.
 LENGTH, ANCHOR = 200, 100
@@ -236,6 +236,7 @@ def _resolve(table: pa.Table) -> pa.Table:
     whole = np.flatnonzero(times > 1)
     for d in whole.tolist():
         flags[d] = np.packbits(np.ones(int(sizes[d]) - LENGTH + 1, bool)).tobytes()
+    give_back()
     useful = np.array([any(f) for f in flags], bool)[copies]
     counts = (sizes - LENGTH + 1)[copies[useful]]
     return pa.table(
