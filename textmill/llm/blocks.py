@@ -22,7 +22,7 @@ from textmill.session import shared_folder
 
 from .common import give_back, shuffle_partitions
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 
 

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordCache, distinct_words, staged, text_slices
+from .common import WordCache, distinct_words, give_back, staged, text_slices
 
 SEQUENCE = 4096
 END_ID = 1
@@ -134,6 +134,9 @@ def _cut(path: str, sequence: int, with_ids: bool):
                 cells = [ids[a : a + n].astype(np.int32) for a, n in zip(begin.tolist(), length.tolist(), strict=True)]
                 out["ids"] = pa.array(cells, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(out)
+        # The vocabulary stays in the worker, the words of one task do not.
+        encoder.cache = WordCache(encoder._encode)
+        give_back()
 
     return run
 
