@@ -104,6 +104,27 @@ def test_keys_of_nested_files(spark, folder):
     assert {bytes(r.data) for r in parts if r.object_id == "up/sub dir/a.txt"} == {b"inner"}
 
 
+def test_keys_below_a_pattern(spark, tmp_path):
+    for name in ("x", "y"):
+        (tmp_path / "in" / name).mkdir(parents=True)
+        (tmp_path / "in" / name / "a.txt").write_text(f"Only in {name}. " * 20)
+    for pattern in ("in/*", "in/{x,y}/a.txt", "in/[xy]/*"):
+        listed = {r.object_id for r in list_objects(spark, f"{tmp_path}/{pattern}", "up").collect()}
+        assert listed == {"up/x/a.txt", "up/y/a.txt"}
+    store = ingest_files(spark, f"{tmp_path}/in/*", new_path(spark), IngestOptions(bucket="up", min_tokens=5, max_tokens=30))
+    ids = [r.id for r in store.read().collect()]
+    assert len(set(ids)) == len(ids) and {i.split(":")[0] for i in ids} == listed
+
+
+def test_rows_without_text_or_key(spark):
+    rows = spark.createDataFrame([(1, None), (2, ""), (3, "c")], "k int, t string")
+    held = objects_from_table(rows, "b", F.col("k"), F.col("t"))
+    assert {(r.object_id, r.length) for r in held.collect()} == {("b/1", 0), ("b/2", 0), ("b/3", 1)}
+    assert [r.object_id for r in parts_of_table(held, IngestOptions()).collect()] == ["b/3"]
+    with pytest.raises(Exception, match="without a key"):
+        objects_from_table(rows, "b", F.lit(None), F.col("t")).collect()
+
+
 def test_parts(spark, folder):
     options = IngestOptions(part_size=100, bucket="up")
     data = {f"up/{f.name}": f.read_bytes() for f in folder.iterdir()}
@@ -150,8 +171,10 @@ def test_notifications(spark):
     assert {r.object_id for r in parse_notifications(df, "up").collect()} == {"up/a b", "up/x%2Fy"}
     assert "x/y" in {r.key for r in parse_notifications(df, "up", url_decode=True).collect()}
     assert parse_notifications(df, "up", all_records=True).count() == 4
-    with pytest.raises(Exception, match="without an object key"):
-        parse_notifications(spark.createDataFrame([("{}",)], "body string"), "up").collect()
+    for bad in ["{}", "no json", '{"Records":[]}']:
+        for every in (False, True):
+            with pytest.raises(Exception, match="without an object key"):
+                parse_notifications(spark.createDataFrame([(bad,)], "body string"), "up", all_records=every).collect()
 
 
 def test_descriptors(spark):
@@ -177,6 +200,27 @@ def test_quarantine(spark):
         prepare_parts(parts, IngestOptions()).collect()
 
 
+def test_jobs_report_quarantined_parts(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "good.txt").write_bytes(b"all fine here. " * 9)
+    (tmp_path / "in" / "bad.txt").write_bytes(b"broken \xff here. " * 9)
+    path, report = str(tmp_path / "in"), str(tmp_path / "report")
+    given = dict(bucket="up", on_invalid="quarantine", min_tokens=2, max_tokens=9)
+    with pytest.raises(ValueError, match="quarantine_path"):
+        ingest_files(spark, path, new_path(spark), IngestOptions(**given))
+    options = IngestOptions(**given, quarantine_path=report)
+    store = ingest_files(spark, path, new_path(spark), options)
+    assert {r.id.split(":")[0] for r in store.read().collect()} == {"up/good.txt"}
+    found = [(r.object_id, r.part_start, r.part_end) for r in spark.read.parquet(report).collect()]
+    assert found == [("up/bad.txt", 0, (tmp_path / "in" / "bad.txt").stat().st_size)]
+    streamed = IngestOptions(**given, quarantine_path=f"{report}-stream")
+    start_ingest(
+        arriving_objects(spark, path, "up"), lambda b: parts_of_arriving(b, streamed),
+        vs.ParquetVectorStore(spark, new_path(spark), 64), get_provider("term-hash-64"), new_path(spark), streamed,
+    ).awaitTermination()
+    assert [r.object_id for r in spark.read.parquet(f"{report}-stream").collect()] == ["up/bad.txt"]
+
+
 def chunk_frame(spark, texts):
     rows, at = [], 0
     for i, t in enumerate(texts):
@@ -306,6 +350,28 @@ def test_failed_upsert_leaves_the_collection(spark):
     assert contents(store.read())["1"][0] == 7 and store.count() == 20
 
 
+@pytest.mark.parametrize("begun", [False, True])
+def test_upserts_at_once_all_survive(spark, begun):
+    path = new_path(spark)
+    stores = [vs.ParquetVectorStore(spark, path, 8, META, buckets=2) for _ in range(2)]
+    if begun:
+        stores[0].upsert(stored(spark, [("0", 0)], 8))
+    slow, fast = stores
+    publish = slow._publish
+
+    def late(*args):
+        # The other writer publishes between this one's reading and its publishing.
+        slow._publish = publish
+        fast.upsert(stored(spark, [("b", 2), ("c", 3)], 8))
+        return publish(*args)
+
+    slow._publish = late
+    slow.upsert(stored(spark, [("a", 1), ("c", 4)], 8))
+    kept = {k: v[0] for k, v in contents(slow.read()).items()}
+    assert kept == {"a": 1, "b": 2, "c": 4} | ({"0": 0} if begun else {})
+    assert not slow._children("staged")
+
+
 def test_duplicates_in_a_batch(spark):
     batch = stored(spark, [("1", 5), ("1", 9), ("1", 7)], 8).withColumn("at", 10 - F.col("metadata.bar"))
     store = vs.ParquetVectorStore(spark, new_path(spark), 8, META)

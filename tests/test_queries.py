@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog.oracle import ORACLE
+from catalog.queries import QUERIES
 from check import compare
 
 # Queries over the tables as files, which SQL cannot name.
@@ -10,14 +12,15 @@ WITHOUT_SQL = {"file_read", "file_sizes", "file_part_reads"}
 
 
 def test_registration():
-    assert set(oracle_sql()) == set(queries()) - WITHOUT_SQL
+    assert set(ORACLE) == set(QUERIES) - WITHOUT_SQL
+    assert QUERIES.items() <= queries().items() and ORACLE.items() <= oracle_sql().items()
 
 
 def test_entry(spark):
     assert entry(spark).columns == ["object_id", "part_start", "seq", "text", "start", "end"]
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf, name):
     verdict = compare(spark, sf, name)
     assert verdict.startswith("rows" if name in WITHOUT_SQL else "equal"), verdict

@@ -7,6 +7,8 @@ The first shuffle is the one that writes vectors by bucket.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +50,23 @@ def quarantined_parts(parts: DataFrame, options: IngestOptions) -> DataFrame:
     return decoded.filter(_undecodable()).select("object_id", "part_start", "part_end")
 
 
+def check_quarantine(options: IngestOptions) -> None:
+    """A job that leaves parts out must say where it reports them."""
+    if options.on_invalid == "quarantine" and not options.quarantine_path:
+        raise ValueError("on_invalid='quarantine' needs a quarantine_path for the parts left out")
+
+
+def report_quarantined(parts: DataFrame, options: IngestOptions, attempt: str) -> None:
+    """Write the ranges of undecodable parts below ``quarantine_path``, a folder per ``attempt``.
+
+    Nothing happens unless the policy is quarantine.  An attempt that runs again replaces
+    its own report.
+    """
+    if options.on_invalid == "quarantine":
+        folder = f"{options.quarantine_path.rstrip('/')}/job={attempt}"
+        quarantined_parts(parts, options).write.mode("overwrite").parquet(folder)
+
+
 def prepare_parts(parts: DataFrame, options: IngestOptions = IngestOptions()) -> DataFrame:
     """Finished chunks ``(object_id, part_start, seq, text, start, end, encoding)`` of parts."""
     decoded = decode_parts(parts, options)
@@ -111,8 +130,14 @@ def parts_of_files(spark: SparkSession, path: str, options: IngestOptions, **rea
 def ingest_files(
     spark: SparkSession, path: str, store_path: str, options: IngestOptions = IngestOptions(), **reader: str
 ) -> VectorStore:
-    """Files in a folder to vectors in a store; returns the store."""
+    """Files in a folder to vectors in a store; returns the store.
+
+    With ``on_invalid="quarantine"`` the parts left out are written to ``quarantine_path``
+    before any vector is.
+    """
+    check_quarantine(options)
     store = get_store(options.vector_store, spark, store_path, options.dimension, options.metadata)
-    chunks = prepare_parts(parts_of_files(spark, path, options, **reader), options)
-    embed_and_upsert(chunks, store, get_provider(options.embedding_model), unique=True)
+    parts = parts_of_files(spark, path, options, **reader)
+    report_quarantined(parts, options, uuid.uuid4().hex)
+    embed_and_upsert(prepare_parts(parts, options), store, get_provider(options.embedding_model), unique=True)
     return store

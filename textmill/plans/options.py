@@ -35,6 +35,7 @@ class IngestOptions:
     preferred_delimiters: str = PREFERRED_DELIMITERS
     encoding: str = "utf-8"
     on_invalid: str = "fail"
+    quarantine_path: str | None = None
 
     def __post_init__(self):
         check_sizes(self.part_size, self.chunk_size)

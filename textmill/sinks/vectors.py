@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,8 @@ from textmill.schema import NO_METADATA, VECTOR, stored_vector
 
 # Fixed value: vectors per call that a vector service accepts.
 UPSERT_BATCH_LIMIT = 100
+#: Tries of one upsert to publish before it gives up against other writers.
+PUBLISH_ATTEMPTS = 20
 
 _BUCKET = "bucket"
 _VERSION = "version"
@@ -103,10 +107,12 @@ def count(vectors: DataFrame) -> DataFrame:
 class ParquetVectorStore:
     """A collection as Parquet files, a folder per hash bucket of the id.
 
-    An upsert rewrites the buckets it touches under a new version and then publishes
+    An upsert rewrites the buckets it touches under a version of its own and then publishes
     which version of each bucket counts.  Readers see one published state or the next,
-    and an attempt that failed half-way leaves nothing they look at.  One writer at a
-    time; where a table format with MERGE is at hand, prefer it.
+    and an attempt that failed half-way leaves nothing they look at.  A state is published
+    by a rename that fails if another writer was first; the upsert then merges again into
+    what that writer published.  This needs a file system whose rename does not replace a
+    folder; where a table format with MERGE is at hand, prefer it.
     """
 
     def __init__(
@@ -182,35 +188,64 @@ class ParquetVectorStore:
         """The published vectors ``(id, vector[, metadata])``."""
         return self._read(self._published()[1])
 
+    def _publish(self, number: int, state: dict[int, int], token: int) -> bool:
+        """Publish a state under a number; False if that number has been published before."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        ready, target = f"staged/{token}-state", hadoop.Path(f"{self.path}/published/{number}")
+        self.spark.createDataFrame(sorted(state.items()), "bucket int, version bigint").coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(f"{self.path}/{ready}")
+        files = hadoop.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(target.getParent())
+        plainly = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        try:
+            files.rename(hadoop.Path(f"{self.path}/{ready}"), target, plainly)
+        except Py4JJavaError as error:
+            if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+                raise
+            self._drop(ready)
+            return False
+        return True
+
     def upsert(self, vectors: DataFrame, version: Column | None = None, unique: bool = False) -> None:
-        """Insert or replace by id; the highest version of an id within the batch wins."""
-        last, state = self._published()
-        number = last + 1
+        """Insert or replace by id; the highest version of an id within the batch wins.
+
+        Of two upserts at once the one that publishes later wins where they share ids.
+        """
         checked = latest_payload(vectors, self.dimension, self.metadata, version, unique)
         bucket = F.pmod(F.xxhash64("id"), F.lit(self.buckets)).cast("int")
-        new = checked.withColumn(_BUCKET, bucket)
-        target = f"{self.path}/data/{_VERSION}={number}"
-        if state:
-            # Only the buckets that receive rows are read and rewritten.  The batch is
-            # written once so that neither this list nor the merge computes it again.
-            staged = f"{self.path}/staged/{number}"
-            new.write.mode("overwrite").parquet(staged)
-            new = self.spark.read.schema(new.schema).parquet(staged)
-            touched = [r.bucket for r in new.select(_BUCKET).distinct().collect()]
-            current = self._read({b: v for b, v in state.items() if b in set(touched)})
-            new = merge_vectors(current.withColumn(_BUCKET, bucket), new)
-        (
-            new.hint("rebalance", _BUCKET)
-            .write.mode("overwrite")
-            .partitionBy(_BUCKET)
-            .parquet(target)
-        )
-        written = [int(n.split("=")[1]) for n in self._children(f"data/{_VERSION}={number}") if "=" in n]
-        state = {**state, **{b: number for b in written}}
-        self.spark.createDataFrame(sorted(state.items()), "bucket int, version bigint").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{self.path}/published/{number}")
-        self._drop(f"staged/{number}")
+        batch = checked.withColumn(_BUCKET, bucket)
+        schema = batch.schema
+        leftover: list[str] = []
+        for _ in range(PUBLISH_ATTEMPTS):
+            token = uuid.uuid4().int >> 66
+            last, state = self._published()
+            new = batch
+            if state:
+                # Only the buckets that receive rows are read and rewritten.  The batch is
+                # written once so that neither this list nor the merge computes it again.
+                if not leftover:
+                    leftover.append(f"staged/{token}")
+                    batch.write.parquet(f"{self.path}/staged/{token}")
+                    batch = self.spark.read.schema(schema).parquet(f"{self.path}/staged/{token}")
+                touched = [r.bucket for r in batch.select(_BUCKET).distinct().collect()]
+                current = self._read({b: v for b, v in state.items() if b in set(touched)})
+                new = merge_vectors(current.withColumn(_BUCKET, bucket), batch)
+            written = f"data/{_VERSION}={token}"
+            new.hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.path}/{written}")
+            buckets = [int(n.split("=")[1]) for n in self._children(written) if "=" in n]
+            if self._publish(last + 1, {**state, **{b: token for b in buckets}}, token):
+                break
+            if leftover:
+                self._drop(written)
+            else:
+                # The first rows of the collection were written as they are: they are the batch.
+                leftover.append(written)
+                batch = self.spark.read.schema(schema).parquet(f"{self.path}/{written}")
+        else:
+            raise RuntimeError(f"other writers were first {PUBLISH_ATTEMPTS} times at {self.path}")
+        for name in leftover:
+            self._drop(name)
 
     def fetch(self, ids: DataFrame) -> DataFrame:
         return fetch(self.read(), ids)

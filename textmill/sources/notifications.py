@@ -20,14 +20,15 @@ def parse_notifications(
     """Object keys of upload notifications: ``(bucket, key, object_id)``.
 
     Test events are skipped.  Only the first record of a message counts unless
-    ``all_records``; the bucket is the configured one, not the one in the event.
+    ``all_records``; the bucket is the configured one, not the one in the event.  A message
+    that is no JSON, has no records or has a record without a key fails the job.
     """
     event = F.from_json(F.col(body), NOTIFICATION)
     parsed = messages.select(event.alias("event")).filter(
         F.col("event.Event").isNull() | (F.col("event.Event") != _TEST_EVENT)
     )
     keys = F.col("event.Records.s3.object.key")
-    key = F.explode(keys) if all_records else F.get(keys, F.lit(0))
+    key = F.explode_outer(keys) if all_records else F.get(keys, F.lit(0))
     found = parsed.select(key.alias("key"))
     if url_decode:
         found = found.withColumn("key", F.url_decode("key"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,6 +17,8 @@ CHUNK_SIZE = 1_048_576
 
 # Bytes of a part that one task holds are bounded by the part size.
 _MAX_PART_SIZE = 256 * 1024 * 1024
+# Fixed value: characters that make a path a pattern.
+_WILDCARD = re.compile(r"[*?\[{\\]")
 # Bytes of parts that a reading task sends on in one batch, and reads in one go by default.
 _BATCH_BYTES = 16 * 1024 * 1024
 _TASK_BYTES = 256 * 1024 * 1024
@@ -29,14 +32,20 @@ def check_sizes(part_size: int, chunk_size: int) -> None:
 
 
 def _object_id(spark: SparkSession, root: str, bucket: str | None) -> Column:
-    """``bucket/key`` with the path below the root as key, or the path itself."""
+    """``bucket/key`` with the path below the root as key, or the path itself.
+
+    Of a pattern the root is the part before its first wildcard, so two files never share an id.
+    """
     if bucket is None:
         return F.col("path")
+    wildcard = _WILDCARD.search(root)
+    if wildcard:
+        root = root[: root.rfind("/", 0, wildcard.start()) + 1] or "."
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     prefix = system.makeQualified(folder).toString().rstrip("/") + "/"
     below = F.substring("path", len(prefix) + 1, 1 << 30)
-    # A root that names one file, or a pattern, has no path below it.
+    # A root that names one file has no path below it.
     key = F.when(F.startswith("path", F.lit(prefix)), below).otherwise(F.substring_index("path", "/", -1))
     return F.concat(F.lit(f"{bucket}/"), key)
 
@@ -64,10 +73,15 @@ def read_objects(spark: SparkSession, path: str, bucket: str | None = None, **op
 
 
 def objects_from_table(df: DataFrame, bucket: str, key: Column, text: Column) -> DataFrame:
-    """Rows of a text table as objects: ``(object_id, length, content)``."""
-    content = text.cast("binary")
-    return df.filter(text.isNotNull()).select(
-        F.concat(F.lit(f"{bucket}/"), key.cast("string")).alias("object_id"),
+    """Rows of a text table as objects: ``(object_id, length, content)``.
+
+    A null text is an empty object: it is listed and has no parts.  A null key fails the job.
+    """
+    content = F.coalesce(text.cast("binary"), F.lit(b""))
+    missing = F.raise_error(F.lit("a row without a key is no object")).cast("string")
+    key = F.coalesce(key.cast("string"), missing)
+    return df.select(
+        F.concat(F.lit(f"{bucket}/"), key).alias("object_id"),
         F.octet_length(content).cast("bigint").alias("length"),
         content.alias("content"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textmill.operators.embedding import EmbeddingProvider
-from textmill.plans.ingest import embed_and_upsert, prepare_parts
+from textmill.plans.ingest import check_quarantine, embed_and_upsert, prepare_parts, report_quarantined
 from textmill.plans.options import IngestOptions
 from textmill.sinks.vectors import VectorStore
 from textmill.sources.notifications import parse_notifications
@@ -29,12 +29,14 @@ def arriving_notifications(spark: SparkSession, path: str, **options: str) -> Da
     return spark.readStream.options(**options).text(path).select(F.col("value").alias("body"))
 
 
-def parts_of_notified(messages: DataFrame, root: str, options: IngestOptions) -> DataFrame:
+def parts_of_notified(
+    messages: DataFrame, root: str, options: IngestOptions, all_records: bool = False, url_decode: bool = False
+) -> DataFrame:
     """Parts of the objects that one micro-batch of notifications names.
 
     Objects announced more than once are read once.
     """
-    named = parse_notifications(messages, options.bucket).dropDuplicates(["object_id"])
+    named = parse_notifications(messages, options.bucket, "body", all_records, url_decode).dropDuplicates(["object_id"])
     return read_ranges(plan_parts(stat_objects(named, root), options.part_size))
 
 
@@ -55,11 +57,15 @@ def start_ingest(
     """Start the ingest stream.
 
     A micro-batch that runs again after a failure writes the same ids with the same
-    vectors, so delivery at least once is enough.
+    vectors, so delivery at least once is enough.  With ``on_invalid="quarantine"`` each
+    micro-batch reports the parts it leaves out in its own folder below ``quarantine_path``.
     """
+    check_quarantine(options)
 
-    def write(batch: DataFrame, _: int) -> None:
-        embed_and_upsert(prepare_parts(to_parts(batch), options), store, provider)
+    def write(batch: DataFrame, number: int) -> None:
+        parts = to_parts(batch)
+        report_quarantined(parts, options, str(number))
+        embed_and_upsert(prepare_parts(parts, options), store, provider)
 
     writer = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
