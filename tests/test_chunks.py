@@ -1,6 +1,7 @@
 """Decoding, word healing and resizing of chunk streams."""
 
 import random
+from itertools import accumulate, islice
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,29 +59,27 @@ def adjacent(values, start=0):
 
 
 def test_decode_cases(spark):
-    cases = [([(b"Hello, world!", 8), (b"Foo bar!", 21)], [("Hello, world!", 8), ("Foo bar!", 21)])]
+    cases = [([(b"north", 40), (b" and south", 45)], [("north", 40), (" and south", 45)])]
     for a, b in SPLITS:
-        ch = (a + b).decode()
+        ch, n = (a + b).decode(), len(a)
         cases += [
-            (adjacent([b"Hello, world!" + a, b + b"Foo bar!"]), adjacent(["Hello, world!", ch + "Foo bar!"])),
-            (adjacent([a, b]), [(ch, 0)]),
-            (
-                adjacent([a, b, b"Hello" + a, b + b"world!", b"Foo bar!", a]),
-                adjacent([ch, "Hello", ch + "world!", "Foo bar!"]),
-            ),
-            (
-                list(zip([a, b, b"Hello" + a, b + b"world!", b"Foo bar!", a], [32, 32 + len(a), 8, 90, 0, 16])),
-                [(ch, 32), ("Hello", 8), ("world!", 90), ("Foo bar!", 0)],
-            ),
+            # Cut in two by a chunk end, alone and between other text.
+            (adjacent([a, b], 11), [(ch, 11)]),
+            (adjacent([b"x" + a, b + b"y" + a, b + b"z"]), adjacent(["x", ch + "y", ch + "z"])),
+            # Without its neighbour a half is dropped; the offset of the rest stays.
+            ([(b"p" + a, 3), (b + b"q", 500)], [("p", 3), ("q", 500)]),
+            ([(b + b"q", 500), (b"r" + a, 7), (a, 80), (b, 80 + n)], [("q", 500), ("r", 7), (ch, 80)]),
+            # An empty chunk between both halves changes nothing.
+            (adjacent([a, b"", b + b"end"], 6), [(ch + "end", 6)]),
         ]
-    cases += [(adjacent([b"\x80\x80\x80"]), []), (adjacent([b"\x80\x80\x80", b"\x80"]), [])]
+    cases += [(adjacent([b"\xbf\xbf"]), []), (adjacent([b"\xbf", b"\xbf\xbf"]), [])]
     expected = [[(t, s, s + len(t.encode())) for t, s in e] for _, e in cases]
     df = frame(spark, [c for c, _ in cases], "data")
     assert streams_of(decode_chunks(df, PART_ORDER), len(cases)) == expected
     assert streams_of(decode_chunks(df, BLOCKS), len(cases)) == expected
 
 
-@pytest.mark.parametrize("chunks", [[b"Hello, \xffworld!"], [b"Hello, world!\xc3", b"\x28 Foo bar!"], [b"a\x80\x80\x80\x80"]])
+@pytest.mark.parametrize("chunks", [[b"one \xfe two"], [b"three\xe2\x82", b"four"], [b"z\xbf\xbf\xbf\xbf\xbf"]])
 def test_decode_invalid(spark, chunks):
     df = frame(spark, [adjacent(chunks)], "data")
     with pytest.raises(Exception, match="not valid UTF-8"):
@@ -125,23 +124,25 @@ def test_decode_random(spark):
 
 
 HEAL_CASES = [
-    (adjacent(["hello wor", "ld! This i", "s a test."]), adjacent(["hello ", "world! This ", "is a test."])),
-    (
-        [("greetings all and", 153), (" hello wor", 32), ("ld! This i", 42), ("s a test.", 594)],
-        [(" all ", 162), (" hello ", 32), ("world! This ", 39), (" a test.", 595)],
-    ),
-    (adjacent(["hellotherethisisalongword", "world"]), adjacent(["hellotherethisisalongword", "world"])),
-    ([("hello   the", 36)], []),
-    (adjacent(["         \n\t  \t"]), []),
-    ([("hello ", 38)], []),
-    (adjacent(["   hello", "wor ld", "!"]), adjacent(["hellowor ", "ld!"], 3)),
-    (adjacent(["hello,world"]), [("hello,", 0)]),
+    # A word cut by a chunk end goes to the later chunk, but no further than one without marks.
+    (adjacent(["red gre", "en blue. ye", "llow"]), adjacent(["red ", "green blue. ", "yellow"])),
+    (adjacent(["a mar", "vel", "lous day."]), adjacent(["a ", "marvel", "lous day."])),
+    # Without a neighbour the rest of a word in front goes, and the word left open behind.
+    ([("ttle by little, dro", 70), ("ps fall.", 400)], [(" by little, ", 74), (" fall.", 402)]),
+    ([("Anna-", 0), ("tree; bush", 12)], [("Anna-", 0), ("; ", 16)]),
+    # Nothing but one word stays, nothing but space goes.
+    ([("unfinished", 25)], [("unfinished", 25)]),
+    (adjacent(["lone", "ly"]), adjacent(["lone", "ly"])),
+    (adjacent(["\n \t", "  "], 90), []),
+    ([("rest ", 61)], []),
+    # A first chunk at 0 keeps its first word; a blank piece goes, its place stays.
+    (adjacent(["   up", "on ti", "me!"]), adjacent(["upon ", "time!"], 3)),
 ]
 
 
 def test_heal_cases(spark):
     df = frame(spark, [c for c, _ in HEAL_CASES], "text")
-    expected = [[(t, s, s + len(t.encode())) for t, s in e] for _, e in HEAL_CASES]
+    expected = [[(c[0], c[1], c[1] + len(c[0].encode())) for c in e] for _, e in HEAL_CASES]
     assert streams_of(heal_words(df, PART_ORDER), len(HEAL_CASES)) == expected
     assert streams_of(heal_words(df, BLOCKS), len(HEAL_CASES)) == expected
 
@@ -203,12 +204,22 @@ def test_resize_with_vocabulary(spark):
 
     register_tokenizer("tiny", build)
     tokenizer = build()
-    streams = random_text_streams(random.Random(4), 120, ["the", " the", "é", ". ", "inner", "漢"], longest=20)
-    # A hard cut may split a character, which decodes to replacement characters; the
-    # rule is the same on both sides.
-    expected = [sequential.resize(c, 6, 17, encode=tokenizer.encode, decode=tokenizer.decode) for c in streams]
+
+    def ends(text, a, b):
+        return accumulate((len(tokenizer.decode([t])) for t in tokenizer.encode(text[a:b])), initial=a)
+
+    streams = random_text_streams(random.Random(4), 120, ["the", " the", "other", ". ", "inner", "!"], longest=20)
+    expected = [sequential.resize(c, 6, 17, token_ends=lambda *s: islice(ends(*s), 1, None)) for c in streams]
     got = resize_chunks(frame(spark, streams, "text"), PART_ORDER, 6, 17, tokenizer="tiny")
     assert streams_of(got, len(streams)) == expected
+    # A hard cut may split a character, which decodes to replacement characters.
+    streams = random_text_streams(random.Random(6), 120, ["the", " the", "é", ". ", "inner", "漢"], longest=20)
+    got = streams_of(resize_chunks(frame(spark, streams, "text"), PART_ORDER, 6, 17, tokenizer="tiny"), len(streams))
+    for found, chunks in zip(got, streams):
+        whole = "".join(t for t, _ in chunks)
+        assert all(len(tokenizer.encode(t.replace("\ufffd", ""))) <= 17 for t, _, _ in found)
+        assert all(run in whole for t, _, _ in found for run in t.split("\ufffd"))
+        assert all(e - s == len(t.encode()) for t, s, e in found)
 
 
 def test_resize_arguments(spark):
