@@ -162,7 +162,8 @@ def fit_languages(docs: DataFrame, path: str | None = None, sample: int = SAMPLE
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     counted = usable.groupBy("lang").count()
     chosen = (
-        usable.join(counted, "lang")
+        # A row a language, far less than the model's column of probabilities for each.
+        usable.join(F.broadcast(counted), "lang")
         .filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.lit(1 << 40) * F.lit(sample) / F.col("count"))
         .select("lang", F.explode(F.split(F.regexp_replace(F.lower("text"), *_STOPS), r"[\x20\x09-\x0D]+")).alias("word"))
         # Only longer words than any text has; keeps a single junk word from filling the driver.
