@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from textmill.llm import blocks
 from textmill.llm.components import components
 from textmill.llm.factors import factored, remove_copied_words
 from textmill.llm.neardup import Shingles, drop_near_duplicates, near_duplicates, signatures
-from textmill.llm.suffixes import LENGTH, PERIOD, remove_repeated_bytes, repeated_positions, sort_suffixes
+from textmill.llm.suffixes import LENGTH, PERIOD, Stretches, remove_repeated_bytes, repeated_positions, sort_suffixes
 
 WORDS = [f"w{i}" for i in range(30)] + ["é", "日本", "x."]
 DOCS = "doc_id long, text string"
@@ -87,6 +88,24 @@ def test_repeated_bytes_are_those_of_the_definition(spark, docs, small_blocks):
     assert sum(k[2] for k in expected) > 5000
 
 
+def test_lone_periodic_texts_repeat_themselves(spark):
+    units = [b"-", b"ab", b"spam ", bytes(range(65, 96)), bytes(range(33, 126)) + b"1234567", bytes(range(33, 126)) * 2]
+    bodies = [(unit * 400)[:n] for unit in units for n in range(200, 321)]
+    found, rows = {}, []
+    for i, body in enumerate(bodies):
+        rows.append((i, body.decode()))
+        seen = Counter(body[p : p + 200] for p in range(len(body) - 199))
+        gone = {q for p in range(len(body) - 199) if seen[body[p : p + 200]] > 1 for q in range(p, p + 200)}
+        block = SimpleNamespace(text=np.frombuffer(body, np.uint8), starts=np.array([0]), ends=np.array([len(body)]))
+        assert Stretches(block).distinct_keys()[1].any() or not gone, (body[:10], len(body))
+        found[i] = len(gone)
+    # One text at a time, so that none is repeated by another one.
+    for i in (2 * 121 + 50, 4 * 121 + 101):
+        removed = remove_repeated_bytes(spark.createDataFrame([rows[i]], DOCS)).collect()
+        assert [(r["doc_id"], r["n_removed"]) for r in removed] == [(i, found[i])]
+        assert found[i] == len(bodies[i])
+
+
 @pytest.mark.parametrize("alphabet", [1, 2, 26])
 def test_the_cover_sorts_long_ties(alphabet):
     r = np.random.default_rng(alphabet)

@@ -2,8 +2,8 @@
 
 A suffix matters if the 200 bytes at its start occur again.  Those suffixes are dealt into
 buckets: the key of a 200-byte string is the least hash of the 100-byte strings in it, so equal
-strings meet in one bucket, and strings whose key occurs once in all documents are not dealt at
-all.  A bucket gets the stretches of text its suffixes lie in and sorts them in its own memory:
+strings meet in one bucket, and strings whose key occurs in one stretch of all documents are not
+dealt at all, unless that stretch repeats a string within itself.  A bucket gets the stretches of text its suffixes lie in and sorts them in its own memory:
 first by 31 bytes, then, for longer ties, by ranks of a sample of positions that were computed
 before.  The sample is a difference cover: for any two positions there is a distance below 31 at
 which both lie in the sample, so two suffixes that agree in 31 bytes are told apart by comparing
@@ -137,7 +137,10 @@ class Stretches:
 
     def __init__(self, block: Block):
         self.rolling = Rolling.of_bytes(block.text)
-        keys = least(self.rolling.every(ANCHOR), LENGTH - ANCHOR + 1)
+        anchors = self.rolling.every(ANCHOR)
+        keys = least(anchors, LENGTH - ANCHOR + 1)
+        # Where the least anchor comes first and again before the window ends: periodic text.
+        again = (anchors[: len(keys)] == keys) & (least(anchors, LENGTH - ANCHOR)[1 : len(keys) + 1] == keys)
         inside = np.zeros(len(keys) + 1, np.int64)
         long = block.ends - block.starts >= LENGTH
         np.add.at(inside, block.starts[long], 1)
@@ -151,13 +154,31 @@ class Stretches:
         self.starts = at[first]
         self.counts = np.diff(np.append(first, len(at)))
         self.keys = keys[first]
+        self.periodic = np.add.reduceat(again[at], first, dtype=np.int64) > 0 if len(first) else np.zeros(0, bool)
+
+    def _ruled(self) -> np.ndarray:
+        """Stretches that hold a 200-byte string twice.
+
+        Equal strings of a stretch of up to 101 are at most 100 apart, so the text from the first
+        to the second has that period and so have its anchors: the least one comes again.
+        """
+        found = self.counts > LENGTH - ANCHOR + 1  # may rule more than needed
+        some = np.flatnonzero(self.periodic & ~found)
+        counts = self.counts[some]
+        label = np.repeat(some, counts)
+        at = np.arange(len(label)) + np.repeat(self.starts[some] - (np.cumsum(counts) - counts), counts)
+        strings = self.rolling.stretches(at, at + LENGTH)
+        order = np.lexsort((strings, label))
+        same = (label[order][1:] == label[order][:-1]) & (strings[order][1:] == strings[order][:-1])
+        found[label[order][1:][same]] = True
+        return found
 
     def distinct_keys(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, index, n = np.unique(self.keys, return_index=True, return_counts=True)
-        # A longer run than one string of 100 bytes can rule repeats within itself.
-        longest = np.zeros(len(keys), np.int64)
-        np.maximum.at(longest, np.searchsorted(keys, self.keys), self.counts)
-        return keys, (n > 1) | (longest > LENGTH - ANCHOR + 1)
+        keys, n = np.unique(self.keys, return_counts=True)
+        known = n > 1
+        # A stretch can also repeat strings within itself.
+        known[np.searchsorted(keys, self.keys[self._ruled()])] = True
+        return keys, known
 
 
 def _stretch_keys(block: Block) -> tuple[np.ndarray, np.ndarray]:
