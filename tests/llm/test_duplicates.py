@@ -11,7 +11,7 @@ import pytest
 from textmill.llm import blocks
 from textmill.llm.components import components
 from textmill.llm.factors import factored, remove_copied_words
-from textmill.llm.neardup import Shingles, drop_near_duplicates, near_duplicates, signatures
+from textmill.llm.neardup import Shingles, alike, drop_near_duplicates, near_duplicates, near_links, signatures
 from textmill.llm.suffixes import LENGTH, PERIOD, Stretches, remove_repeated_bytes, repeated_positions, sort_suffixes
 
 WORDS = [f"w{i}" for i in range(30)] + ["é", "日本", "x."]
@@ -156,6 +156,26 @@ def test_near_duplicates_miss_no_link(spark):
     assert sum(x["kept"] for x in found) == len(set(label))
 
 
+def test_a_stranger_meets_the_texts_that_match_the_hub(spark):
+    a = [f"w{i}" for i in range(400)]
+    b = list(a)
+    b[100:300:25] = [f"y{i}" for i in range(8)]
+    other = [f"z{i}" for i in range(400)]
+    for n in range(100):
+        hub = [*a[:10], f"x{n}", *a[11:20], "x", *a[21:]]
+        found = Shingles(pa.array([" ".join(t) for t in (hub, a, b, other)]))
+        nodes = found.nodes.view(np.int64).tolist()
+        if nodes[0] == min(nodes):
+            break
+    runs = np.split(found.runs, np.searchsorted(found.doc, [1, 2, 3]))
+    assert [alike(runs[i], runs[j]) for i, j in ((0, 1), (1, 2), (0, 2))] == [True, True, False]
+    texts = [(" ".join(t),) for t in (hub, a, b, other)]
+    signed = spark.createDataFrame([(n, [7]) for n in nodes], "node long, bands array<long>")
+    links = near_links(spark.createDataFrame(texts, "text string"), signed)
+    stars = {r["a"]: r["b"] for r in components(links).collect()}
+    assert stars == {nodes[1]: nodes[0], nodes[2]: nodes[0]}
+
+
 def test_repeated_rows_leave_one(spark):
     rows = [(5, "a b c d e f g", 1), (5, "a b c d e f g", 1), (None, "a b c d e f g", 2), (7, "", 3), (8, None, 4), (7, "z", 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, node long")

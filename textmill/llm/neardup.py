@@ -8,8 +8,8 @@ their weighted Jaccard similarity.  Ranks are opened in strips, each twice as wi
 coordinate has a dart, so a text costs about the same few thousand darts whatever its length.
 
 Coordinates are joined in bands.  Texts that share a band meet one hub, the smallest of them, and
-links are confirmed on the words themselves; texts of a band that do not match its hub are
-compared with each other.  Equal texts are one node throughout.
+links are confirmed on the words themselves; texts of a band that no links connect with its hub
+are compared with all texts of the band.  Equal texts are one node throughout.
 """
 
 from __future__ import annotations
@@ -178,6 +178,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _compare_all(table: pa.Table) -> pa.Table:
     """Links between the texts of one chunk and those of another (or the same) of one band."""
     left = table.column("left").to_numpy()
+    settled = table.column("settled").to_numpy()
     nodes = table.column("node").to_numpy()
     found = Shingles(table.column("text").combine_chunks())
     runs = np.split(found.runs, np.searchsorted(found.doc, np.arange(1, len(nodes))))
@@ -188,6 +189,9 @@ def _compare_all(table: pa.Table) -> pa.Table:
         for j in (one[one > i] if lone else np.flatnonzero(~left)).tolist():
             if alike(runs[i], runs[j]):
                 out.append((nodes[i], nodes[j]))
+                # The settled texts of a band are connected already, so one link to them is enough.
+                if settled[j]:
+                    break
     give_back()
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
@@ -212,19 +216,34 @@ def near_links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     )
     links = judged.filter("same").select(F.col("node").alias("a"), F.col("hub").alias("b"))
 
-    # What did not match the hub of a band is compared within the band, in chunks.
-    strangers = met.join(judged.filter("not same").select("node", "hub"), ["node", "hub"]).select("band", "node")
-    sizes = strangers.groupBy("band").agg(
-        F.count("*").alias("n"),
-        # Bands with the same strangers need one comparison.
-        F.min("node").alias("low"), F.max("node").alias("high"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("all"),
-    ).filter("n > 1")
-    sizes = sizes.groupBy("n", "low", "high", "all").agg(F.min("band").alias("band")).select("band", "n")
-    chunked = strangers.join(sizes, "band").withColumn("of", F.ceil(F.col("n") / CHUNK)).withColumn(
-        "chunk", F.pmod(F.xxhash64("node"), F.col("of"))
+    # What the hubs' links leave apart from the hub of a band is compared with all texts of the band,
+    # in chunks; the others of the band are connected with the hub and settled.
+    stars = staged(components(links), "stars")
+    roots = lambda name: stars.select(F.col("a").alias(name), F.col("b").alias(f"{name}_root"))
+    apart = judged.filter("not same").select("node", "hub").join(roots("node"), "node", "left").join(roots("hub"), "hub", "left")
+    apart = apart.filter(F.coalesce("node_root", "node") != F.coalesce("hub_root", "hub")).select("node", "hub", F.lit(False).alias("s"))
+    members = met.join(apart, ["node", "hub"], "left").select("band", "node", F.coalesce("s", F.lit(True)).alias("settled"))
+    members = staged(members, "members")
+    strange = F.when(~F.col("settled"), F.col("node"))
+    sizes = members.groupBy("band").agg(
+        F.count("*").alias("n"), F.count(strange).alias("strangers"),
+        # Bands with the same texts and the same strangers need one comparison.
+        F.min("node").alias("low"), F.max("node").alias("high"),
+        F.sum(F.xxhash64("node", "settled").cast("decimal(38,0)")).alias("all"),
+    ).filter("strangers > 0 and n > 1")
+    sizes = sizes.groupBy("n", "strangers", "low", "high", "all").agg(F.min("band").alias("band"))
+    sizes = sizes.select(
+        "band", F.ceil(F.col("strangers") / CHUNK).alias("of"), F.ceil((F.col("n") - F.col("strangers")) / CHUNK).alias("more")
     )
-    dealt = chunked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1))).select(
-        "band", "node", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"),
+    # Chunks of strangers come first, those of settled texts behind them.
+    chunked = members.join(sizes, "band").withColumn(
+        "chunk",
+        F.when(F.col("settled"), F.col("of") + F.pmod(F.xxhash64("node"), F.col("more"))).otherwise(F.pmod(F.xxhash64("node"), F.col("of"))),
+    )
+    # Settled texts meet strangers only.
+    last = F.when(F.col("settled"), F.col("of")).otherwise(F.col("of") + F.col("more")) - 1
+    dealt = chunked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
+        "band", "node", "settled", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"),
         (F.col("chunk") <= F.col("other")).alias("left"), (F.col("chunk") == F.col("other")).alias("lone"),
     )
     more = dealt.join(texts, "node").groupBy("band", "x", "y").applyInArrow(_compare_all, "a long, b long")
