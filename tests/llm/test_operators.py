@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.llm.extraction import BlockLabeller, Features, extract_main_text, fit_labeller, labelled, leaves, training_pages
 from textmill.llm.fingerprints import BITS, fingerprint_edits, hex_fingerprint, near_fingerprints, simhash
-from textmill.llm.language import fit_languages, held_out, identify
+from textmill.llm.language import Lattice, fit_languages, held_out, identify, read_pieces
 from textmill.llm.mixing import mix_sources, source_targets
 from textmill.llm.packing import fit_repeats, pack_documents, plan_sequences, vocabulary
 from textmill.llm.revisits import attach_payload, canonical_url, merge_headers, resolve_revisits
@@ -203,6 +203,27 @@ def test_languages_of_held_out_documents(spark, sf):
     assert found.filter("score < 0 or score > 1").count() == 0
 
 
+def test_long_words_count(spark):
+    r = np.random.default_rng(3)
+    rows = []
+    for i in range(60):
+        rows.append((2 * i, "".join(chr(0x4E00 + c) for c in r.integers(0, 300, 150)), "s", "zh"))
+        rows.append((2 * i + 1, "".join(chr(0xE01 + c) for c in r.integers(0, 40, 350)), "s", "th"))
+    docs = spark.createDataFrame(rows, DOCS)
+    model = fit_languages(docs)
+    assert model.languages == ["th", "zh"]
+    truth = {i: lang for i, _, _, lang in rows}
+    found = identify(docs, model).collect()
+    assert {x["doc_id"]: x["lang_pred"] for x in found} == truth
+    lattice = Lattice(read_pieces(model.path))
+    flat = np.full(lattice.size, 1 / lattice.size)
+    lengths = np.append([len(p) for p in read_pieces(model.path)], 1)
+    for word in ("中" * 100, "the" * 30, "qx" * 50):
+        [(_, chars)] = lattice.groups([word])
+        # The pieces of each segmentation cover the word and its mark.
+        assert lattice.expected(chars, flat, np.array([3.0])) @ lengths == pytest.approx(3 * (len(word) + 1))
+
+
 def test_texts_without_letters_have_no_language(spark):
     rows = [(i, t, None, lang) for i, (t, lang) in enumerate([("one two", "en"), ("uno dos", "es"), (None, "en"), ("12 ?!", "en"), ("two", None)] * 4)]
     docs = spark.createDataFrame(rows, DOCS)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordCache, distinct_words, give_back, text_slices
@@ -23,6 +23,8 @@ from .common import WordCache, distinct_words, give_back, text_slices
 SAMPLE_DOCS, SAMPLE_WORDS = 2_000, 30_000
 #: Pieces have up to so many characters; longer ones of the vocabulary are left out.
 LONGEST = 8
+#: Longer words, as of languages without spaces, count as runs of so many characters.
+RUN = 100
 ROUNDS = 4
 #: Added to each piece's expected count.
 SMOOTHING = 0.05
@@ -124,16 +126,33 @@ class Lattice:
         """Expected uses of each piece in words seen ``counts`` times, for one language."""
         n, length = chars.shape
         found = list(self.pieces(chars))
-        alpha, beta = np.zeros((length + 1, n)), np.zeros((length + 1, n))
-        alpha[0] = beta[length] = 1
-        for start, end, rows, ids in found:
-            alpha[end, rows] += alpha[start, rows] * probs[ids]
-        for start, end, rows, ids in sorted(found, key=lambda f: -f[0]):
-            beta[start, rows] += beta[end, rows] * probs[ids]
-        share = np.where(alpha[length] > 1e-250, counts / np.maximum(alpha[length], 1e-250), 0)
+        # A factor per character weighs all segmentations of a word alike; it keeps improbable
+        # words in the range of floating point numbers.
+        factor = np.ones(n)
+
+        def weights(start: int, end: int, rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
+            return probs[ids] * factor[rows] ** (end - start)
+
+        def ahead() -> np.ndarray:
+            alpha = np.zeros((length + 1, n))
+            alpha[0] = 1
+            for place in found:
+                alpha[place[1], place[2]] += alpha[place[0], place[2]] * weights(*place)
+            return alpha
+
+        alpha = ahead()
+        low = alpha[length] < 1e-250
+        if low.any():
+            factor[low] = np.exp(-self.forward(chars[low], probs[:, None])[:, 0] / length)
+            alpha = ahead()
+        beta = np.zeros((length + 1, n))
+        beta[length] = 1
+        for place in sorted(found, key=lambda f: -f[0]):
+            beta[place[0], place[2]] += beta[place[1], place[2]] * weights(*place)
+        share = counts / alpha[length]
         uses = np.zeros(self.size)
         for start, end, rows, ids in found:
-            uses += np.bincount(ids, alpha[start, rows] * probs[ids] * beta[end, rows] * share[rows], self.size)
+            uses += np.bincount(ids, alpha[start, rows] * weights(start, end, rows, ids) * beta[end, rows] * share[rows], self.size)
         return uses
 
 
@@ -156,7 +175,8 @@ def fit_languages(docs: DataFrame, path: str | None = None, sample: int = SAMPLE
 
     ``docs`` needs ``doc_id``, ``text`` and ``lang``; held-out documents and those without
     language or text are not used.  Of each language the ``SAMPLE_WORDS`` most frequent words
-    of the sample count.  Without usable documents the model has no languages.
+    of the sample count; words of more than ``RUN`` characters are cut into runs of so many, here
+    and in ``identify``.  Without usable documents the model has no languages.
     """
     path = path or vocabulary()
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
@@ -166,11 +186,15 @@ def fit_languages(docs: DataFrame, path: str | None = None, sample: int = SAMPLE
         usable.join(F.broadcast(counted), "lang")
         .filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.lit(1 << 40) * F.lit(sample) / F.col("count"))
         .select("lang", F.explode(F.split(F.regexp_replace(F.lower("text"), *_STOPS), r"[\x20\x09-\x0D]+")).alias("word"))
-        # Only longer words than any text has; keeps a single junk word from filling the driver.
-        .filter((F.length("word") > 0) & (F.length("word") <= 100))
+        .filter(F.length("word") > 0)
     )
-    words = chosen.groupBy("lang", "word").count().withColumn("packed", F.struct(F.col("count"), "word"))
-    top = words.groupBy("lang").agg(F.slice(F.sort_array(F.collect_list("packed"), False), 1, SAMPLE_WORDS).alias("w"))
+    runs = F.regexp_extract_all("word", F.lit(f"(?s).{{1,{RUN}}}"), F.lit(0))
+    chosen = chosen.select("lang", F.explode(F.when(F.length("word") <= RUN, F.array("word")).otherwise(runs)).alias("word"))
+    words = chosen.groupBy("lang", "word").count()
+    # The list of a language has only the words chosen.
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), F.desc("word")))
+    words = words.withColumn("turn", turn).filter(F.col("turn") <= SAMPLE_WORDS).withColumn("packed", F.struct(F.col("count"), "word"))
+    top = words.groupBy("lang").agg(F.sort_array(F.collect_list("packed"), False).alias("w"))
     rows = sorted(top.collect(), key=lambda r: r["lang"])  # at most SAMPLE_WORDS words a language
     lattice = Lattice(read_pieces(path))
     columns = []
@@ -195,11 +219,16 @@ class _Scorer:
         self.cache = WordCache(self._scores)
 
     def _scores(self, words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), len(self.model.languages)))
-        for places, chars in self.lattice.groups(words):
+        lowered = [w.lower() for w in words]
+        runs = [w[a : a + RUN] for w in lowered for a in range(0, len(w) or 1, RUN)]
+        out = np.zeros((len(runs), len(self.model.languages)))
+        for places, chars in self.lattice.groups(runs):
             if chars.shape[1] > 1:  # the empty word stays at 0
                 out[places] = self.lattice.forward(chars, self.model.probs)
-        return out
+        if len(runs) == len(words):
+            return out
+        counts = np.array([max(1, -(-len(w) // RUN)) for w in lowered])
+        return np.add.reduceat(out, np.cumsum(counts) - counts)
 
     def posteriors(self, texts: pa.Array) -> np.ndarray:
         plain = pc.replace_substring_regex(pc.ascii_lower(texts), _STOPS[0], _STOPS[1].replace("$", "\\"))
