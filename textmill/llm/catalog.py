@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import oracle
 from .common import table
+from .divergence import audit_sources
 from .extraction import extract_main_text, fit_labeller
 from .factors import remove_copied_words
 from .fingerprints import fingerprint_edits
@@ -111,6 +112,10 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("headers", F.array_join(lines, "\n"))
 
 
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_near_duplicates": op2_near_duplicates,
@@ -122,10 +127,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
     "op10_revisits": op10_revisits,
+    "op13_source_audit": op13_source_audit,
 }
 
 ORACLE: dict[str, str] = {
     "op6_top_k": oracle.TOP_K,
     "op9_mixing": oracle.MIXING,
     "op10_revisits": oracle.REVISITS,
+    "op13_source_audit": oracle.AUDIT,
 }

@@ -95,3 +95,41 @@ SELECT record_id AS revisit_id, url, key AS canonical_url, time, outcome,
     ELSE headers END, lambda h: h.name || ': ' || h.value), chr(10)) AS headers
 FROM merged
 """
+
+AUDIT = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), uses AS (
+  SELECT lang, source, row, term, count(*) AS n FROM (SELECT lang, source, row, unnest(terms) AS term FROM d) GROUP BY ALL
+), kept AS (
+  SELECT lang, term, sum(n)::HUGEINT AS lang_n FROM uses GROUP BY lang, term HAVING count(*) >= 3
+), langs AS (
+  SELECT lang, sum(lang_n)::HUGEINT AS total, count(*)::HUGEINT AS v FROM kept GROUP BY lang
+), here AS (
+  SELECT lang, source, term, sum(n)::HUGEINT AS n FROM uses JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT lang, source, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d)
+    LEFT JOIN (SELECT lang, source, sum(n)::HUGEINT AS total FROM here GROUP BY ALL) USING (lang, source)
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n,
+    1 + 1000000000 * (coalesce(h.n, 0) + 1) // (g.total + l.v) AS p,
+    1 + 1000000000 * (k.lang_n + 1) // (l.total + l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+    LEFT JOIN here h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(p.value, 0) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 200
+"""
