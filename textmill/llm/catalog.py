@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
+from .binpacking import pack_examples
 from .common import table
 from .divergence import audit_sources
 from .extraction import extract_main_text, fit_labeller
@@ -112,6 +113,10 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("headers", F.array_join(lines, "\n"))
 
 
+def op12_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_examples(table(spark, sf_dir, "documents"))
+
+
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_sources(table(spark, sf_dir, "documents"))
 
@@ -127,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
     "op10_revisits": op10_revisits,
+    "op12_vector_packing": op12_vector_packing,
     "op13_source_audit": op13_source_audit,
 }
 
