@@ -13,6 +13,7 @@ from .common import table
 from .divergence import audit_sources
 from .extraction import extract_main_text, fit_labeller
 from .factors import remove_copied_words
+from .fillmiddle import digest_middles
 from .fingerprints import fingerprint_edits
 from .language import fit_languages, identify
 from .mixing import mix_sources
@@ -113,6 +114,10 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("headers", F.array_join(lines, "\n"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_middles(table(spark, sf_dir, "documents"))
+
+
 def op12_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_examples(table(spark, sf_dir, "documents"))
 
@@ -132,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
     "op10_revisits": op10_revisits,
+    "op11_fill_in_middle": op11_fill_in_middle,
     "op12_vector_packing": op12_vector_packing,
     "op13_source_audit": op13_source_audit,
 }
@@ -140,5 +146,6 @@ ORACLE: dict[str, str] = {
     "op6_top_k": oracle.TOP_K,
     "op9_mixing": oracle.MIXING,
     "op10_revisits": oracle.REVISITS,
+    "op11_fill_in_middle": oracle.FILL_IN_MIDDLE,
     "op13_source_audit": oracle.AUDIT,
 }

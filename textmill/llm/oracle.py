@@ -133,3 +133,36 @@ SELECT lang, source, part, item, value::BIGINT AS value,
   (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
 FROM parts QUALIFY part = 'pair' OR rank <= 200
 """
+
+FILL_IN_MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+    sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, len(lines) AS n, ('0x' || h[1:8])::BIGINT % (len(lines) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(lines) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR ('0x' || h[17:24])::BIGINT % 100 >= 100 THEN 'plain'
+      WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), cut AS (
+  SELECT *, coalesce(array_to_string(lines[1:least(a, b)], ''), '') AS prefix,
+    coalesce(array_to_string(lines[least(a, b) + 1:greatest(a, b)], ''), '') AS middle,
+    coalesce(array_to_string(lines[greatest(a, b) + 1:], ''), '') AS suffix
+  FROM drawn
+), put AS (
+  SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END AS output
+  FROM cut
+), found AS (
+  SELECT *, strpos(output, '<P>') AS p, strpos(output, '<S>') AS s, strpos(output, '<M>') AS m FROM put
+)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+  sha256(output) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN output
+    WHEN 'psm' THEN substr(output, p + 3, s - p - 3) || substr(output, m + 3) || substr(output, s + 3, m - s - 3)
+    ELSE substr(output, p + 3, m - p - 3) || substr(output, m + 3) || substr(output, s + 3, p - s - 3) END) AS restored_sha256
+FROM found
+"""
