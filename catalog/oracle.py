@@ -137,18 +137,24 @@ SELECT {key}, seq - 1 AS seq, text, byte_a AS start, byte_b AS "end" FROM step W
 """
 
 
-# The chain at default sizes: the unfinished last word goes, then the text is cut.
-_WHOLE_HEALED = f"""
+def _whole_healed(objects: str) -> str:
+    """Objects of one chunk each: the unfinished last word goes."""
+    return f"""
 SELECT object_id, CASE WHEN regexp_matches(text, '{_WORD_END}')
                        THEN regexp_replace(text, '{_NOT_WORD_END}*$', '') ELSE text END AS text
-FROM ({_OBJECTS}) WHERE length > 0
+FROM ({objects}) WHERE length > 0
 """
-_PREPARED = _resized(
-    f"SELECT * FROM ({_WHOLE_HEALED}) WHERE text <> '' AND NOT regexp_full_match(text, '{_BLANK}')",
-    "object_id",
-    50,
-    200,
-)
+
+
+# The chain at default sizes: what is left of an object is cut.
+_WHOLE_HEALED = _whole_healed(_OBJECTS)
+
+
+def _not_blank(healed: str) -> str:
+    return f"SELECT * FROM ({healed}) WHERE text <> '' AND NOT regexp_full_match(text, '{_BLANK}')"
+
+
+_PREPARED = _resized(_not_blank(_WHOLE_HEALED), "object_id", 50, 200)
 
 
 def _term_vector(text: str) -> str:
@@ -157,9 +163,17 @@ def _term_vector(text: str) -> str:
     return f"(SELECT array_to_string([coalesce(h[j], 0) FOR j IN range(0, 64)], ',') FROM (SELECT {counts} AS h))"
 
 
-_VECTORS = (
-    f"SELECT object_id || ':' || start || '-' || \"end\" AS id, {_term_vector('text')} AS vector FROM ({_PREPARED})"
-)
+def _vectors(prepared: str) -> str:
+    return f"SELECT object_id || ':' || start || '-' || \"end\" AS id, {_term_vector('text')} AS vector FROM ({prepared})"
+
+
+_VECTORS = _vectors(_PREPARED)
+_HALVED = """
+SELECT 'documents/' || doc_id AS object_id, text, strlen(text) AS length FROM (
+  SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN left(text, length(text) // 2) ELSE text END AS text
+  FROM documents)
+"""
+
 
 def _resized_stream(source: str, low: int, high: int) -> str:
     """Token-level machine over chunk streams ``(stream, turn, text, start)``.
@@ -259,8 +273,8 @@ UNION ALL
 SELECT 'w' || doc_id, embedding, 'new', quality, 1 FROM labels JOIN embeddings ON doc_id = vec_id
 """
 _SHOWN = (
-    "id, vector[1]::DOUBLE AS first, vector[len(vector)]::DOUBLE AS last, len(vector) AS width, source, "
-    "grade::BIGINT AS grade"
+    "id, md5(array_to_string([floor(x::DOUBLE * 1048576)::BIGINT FOR x IN vector], ',')) AS digest, len(vector) AS width, "
+    "source, grade::BIGINT AS grade"
 )
 _UPSERTED = f"SELECT {_SHOWN} FROM ({_LABELLED}) QUALIFY row_number() OVER (PARTITION BY id ORDER BY age DESC) = 1"
 
@@ -399,4 +413,9 @@ ORACLE: dict[str, str] = {
     "ingested_documents": _VECTORS,
     "document_vectors": _VECTORS,
     "streamed_documents": _VECTORS,
+    "vector_compacted": _UPSERTED,
+    "vector_lookup": f"SELECT * FROM ({_UPSERTED}) WHERE id IN (SELECT 'v' || doc_id FROM labels)",
+    "ingested_with_metadata": f"""SELECT d.lang || ':' || v.id AS id, vector, d.lang, 0 AS part FROM ({_VECTORS}) v
+        JOIN documents d ON starts_with(v.id, 'documents/' || d.doc_id || ':')""",
+    "replaced_objects": _vectors(_resized(_not_blank(_whole_healed(_HALVED)), "object_id", 5, 30)),
 }

@@ -529,11 +529,16 @@ def _versions(spark, folder) -> tuple[DataFrame, DataFrame]:
     return first, second.unionByName(third)
 
 
+def exact_digest(vector: Column) -> Column:
+    """MD5 of all values, as whole numbers of 2^-20."""
+    units = F.transform(vector, lambda x: F.floor(x.cast("double") * 1048576).cast("bigint").cast("string"))
+    return F.md5(F.array_join(units, ","))
+
+
 def _shown(vectors: DataFrame) -> DataFrame:
     return vectors.select(
         "id",
-        F.get("vector", F.lit(0)).cast("double").alias("first"),
-        F.get("vector", F.size("vector") - 1).cast("double").alias("last"),
+        exact_digest(F.col("vector")).alias("digest"),
         F.size("vector").alias("width"),
         "metadata.source",
         "metadata.grade",
@@ -549,6 +554,30 @@ def vector_upsert(spark, folder):
     return _shown(store.read())
 
 
+@query
+def vector_compacted(spark, folder):
+    """The same collection after its labels came in one by one, all of it merged and the rest deleted."""
+    first, second = _versions(spark, folder)
+    store = vs.ParquetVectorStore(spark, new_folder(spark), 64, _LABELLED, buckets=16, fan=2)
+    store.upsert(first)
+    for grade in (0, 1):
+        store.upsert(second.filter(F.col("metadata.grade") == grade))
+    store.compact(everything=True)
+    store.vacuum()
+    return _shown(store.read())
+
+
+@query
+def vector_lookup(spark, folder):
+    """Vectors fetched from a collection of several layers by id."""
+    first, second = _versions(spark, folder)
+    store = vs.ParquetVectorStore(spark, new_folder(spark), 64, _LABELLED, buckets=16)
+    store.upsert(first)
+    store.upsert(second)
+    ids = table(spark, folder, "labels", "doc_id").select(F.concat(F.lit("v"), "doc_id").alias("id"))
+    return _shown(store.fetch(ids))
+
+
 @query
 def vector_merge(spark, folder):
     first, second = _versions(spark, folder)
@@ -602,6 +631,47 @@ def document_vectors(spark, folder):
     return found.select("id", whole_numbers(F.col("vector")).alias("vector"))
 
 
+_GRADED = T.StructType([T.StructField("lang", T.StringType()), T.StructField("part", T.LongType())])
+
+
+@query
+def ingested_with_metadata(spark, folder):
+    """Metadata and a prefix of its own for each object, by way of the job."""
+    options = IngestOptions(metadata=_GRADED, batch_size=50, max_concurrent=2)
+    store = vs.get_store("parquet", spark, new_folder(spark), options.dimension, options.metadata, buckets=16)
+    chunks = prepare_parts(parts_of_table(objects(spark, folder), options), options)
+    langs = table(spark, folder, "documents", "doc_id", "lang").select(
+        F.concat(F.lit("documents/"), "doc_id").alias("object_id"), "lang"
+    )
+    embed_and_upsert(
+        chunks.join(langs, "object_id"),
+        store,
+        get_provider(options.embedding_model),
+        prefix=F.concat("lang", F.lit(":"), "object_id"),
+        metadata=F.struct("lang", F.col("part_start").alias("part")),
+        batch_size=options.batch_size,
+        max_concurrent=options.max_concurrent,
+    )
+    return store.read().select("id", whole_numbers(F.col("vector")).alias("vector"), "metadata.lang", "metadata.part")
+
+
+@query
+def replaced_objects(spark, folder):
+    """Objects that `labels` names are uploaded again with half their text; what they had more goes."""
+    options = IngestOptions(min_tokens=5, max_tokens=30)
+    store = vs.get_store("parquet", spark, new_folder(spark), options.dimension, buckets=16)
+    provider = get_provider(options.embedding_model)
+    first = prepare_parts(parts_of_table(objects(spark, folder), options), options)
+    embed_and_upsert(first, store, provider)
+    named = table(spark, folder, "labels", "doc_id").distinct()
+    docs = table(spark, folder, "documents", "doc_id", "text").join(named, "doc_id", "left_semi")
+    half = F.substring("text", 1, F.call_function("div", F.length("text"), F.lit(2)).cast("int"))
+    again = objects_from_table(docs, "documents", F.col("doc_id"), half)
+    chunks = prepare_parts(parts_of_table(again, options), options)
+    embed_and_upsert(chunks, store, provider, replaced=again.select(F.col("object_id").alias("prefix")))
+    return store.read().select("id", whole_numbers(F.col("vector")).alias("vector"))
+
+
 @query
 def streamed_documents(spark, folder):
     """The same vectors by way of a stream that picks up the table's files."""

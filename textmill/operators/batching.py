@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.operators.ordered import StreamOrder, running_sum
@@ -42,11 +42,15 @@ def collect_batches(df: DataFrame, order: StreamOrder, size: int, columns: list[
 def attach_per_batch(df: DataFrame, values: DataFrame, order: StreamOrder, size: int) -> DataFrame:
     """Give every row the value of its batch, one per batch in order.
 
-    ``values`` holds ``(…stream keys, batch, …)``; a batch without a value fails the job.
+    ``values`` holds ``(…stream keys, batch, …)``; a batch without a value fails the job, whichever
+    of the values the job uses.
     """
     keys = [*order.keys, "batch"]
     joined = number_batches(df, order, size).join(values.withColumn("__found", F.lit(True)), keys, "left")
-    checked = F.when(F.col("__found"), F.col("batch")).otherwise(
-        F.raise_error(F.lit("fewer values than batches")).cast("bigint")
-    )
-    return joined.withColumn("batch", checked).drop("__found")
+    given = {f.name: f.dataType for f in values.schema.fields if f.name not in order.keys}
+
+    def checked(name: str) -> Column:
+        missing = F.raise_error(F.lit("fewer values than batches")).cast(given[name])
+        return F.when(F.col("__found"), F.col(name)).otherwise(missing)
+
+    return joined.withColumns({name: checked(name) for name in given}).drop("__found")

@@ -32,6 +32,14 @@ class EmbeddingProvider:
     dimension: int
     column: Callable[[Column], Column] = field(repr=False)
     batch_limit: int = EMBED_BATCH_LIMIT
+    #: The same provider with another batch size and number of batches at a time, if it has any.
+    resized: Callable[[int, int | None], EmbeddingProvider] | None = field(default=None, repr=False)
+
+    def with_batches(self, size: int, max_concurrent: int | None = None) -> EmbeddingProvider:
+        """The provider with batches of ``size`` texts; those that embed in place have none."""
+        if max_concurrent is not None and max_concurrent < 1:
+            raise ValueError("max_concurrent must be at least 1")
+        return self.resized(size, max_concurrent) if self.resized else self
 
 
 def in_input_order(answer: list, expected: int) -> list:
@@ -76,7 +84,10 @@ def client_provider(
                 groups = [texts[i : i + size] for i in range(0, len(texts), size)]
                 yield pd.Series([v for answer in pool.map(embed, groups) for v in answer], dtype=object)
 
-    return EmbeddingProvider(name, dimension, call, batch_limit)
+    def resized(size: int, concurrent: int | None) -> EmbeddingProvider:
+        return client_provider(name, dimension, connect, batch_limit, size, concurrent or max_concurrent, retry)
+
+    return EmbeddingProvider(name, dimension, call, batch_limit, resized)
 
 
 # Fixed value: what counts as a term of the hashed embedding.

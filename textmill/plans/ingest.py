@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.tokens import get_tokenizer, resize_array
+from textmill.operators.batching import attach_per_batch, effective_batch_size
 from textmill.operators.decode import check_encoding, decode_array, decode_one
 from textmill.operators.embedding import EmbeddingProvider, assemble_vectors, embed_chunks, get_provider
-from textmill.operators.ordered import explode_rows
+from textmill.operators.ordered import PART_ORDER, StreamOrder, explode_rows
 from textmill.operators.words import heal_array
 from textmill.plans.options import IngestOptions
 from textmill.sinks.vectors import VectorStore, get_store
@@ -109,12 +110,30 @@ def embed_and_upsert(
     prefix: Column | str = "object_id",
     metadata: Column | None = None,
     unique: bool = False,
+    batch_size: int | None = None,
+    max_concurrent: int | None = None,
+    per_batch: DataFrame | None = None,
+    order: StreamOrder = PART_ORDER,
+    replaced: DataFrame | None = None,
 ) -> None:
     """Embed finished chunks and write them; a batch that cannot be written fails the job.
 
-    Ids are unique when every object occurs once; ``unique`` then saves a shuffle.
+    ``prefix`` and ``metadata`` are constants or columns.  ``per_batch`` gives one value for each
+    batch of ``batch_size`` chunks instead: the keys of ``order``, ``batch`` and ``prefix``,
+    ``metadata`` or both.  Without ``batch_size`` a batch is as large as provider and store accept;
+    ``max_concurrent`` batches of a task are embedded at a time.  Ids are unique when every object
+    occurs once; ``unique`` then saves a shuffle.  ``replaced (prefix)`` names objects whose earlier
+    vectors go unless they are written again.
     """
-    store.upsert(vectors_of(chunks, provider, prefix, metadata), unique=unique)
+    size = effective_batch_size(batch_size, provider.batch_limit, getattr(store, "batch_limit", provider.batch_limit))
+    provider = provider.with_batches(size, max_concurrent)
+    if hasattr(store, "with_batches"):
+        store = store.with_batches(size)
+    if per_batch is not None:
+        chunks = attach_per_batch(chunks, per_batch, order, size)
+        prefix = "prefix" if "prefix" in per_batch.columns else prefix
+        metadata = F.col("metadata") if "metadata" in per_batch.columns else metadata
+    store.upsert(vectors_of(chunks, provider, prefix, metadata), unique=unique, replaced=replaced)
 
 
 def parts_of_table(objects: DataFrame, options: IngestOptions) -> DataFrame:
@@ -127,17 +146,45 @@ def parts_of_files(spark: SparkSession, path: str, options: IngestOptions, **rea
     return read_ranges(plan_parts(list_objects(spark, path, options.bucket, **reader), options.part_size))
 
 
+def check_metadata_values(options: IngestOptions, metadata: Column | None) -> None:
+    """A collection with metadata needs a value for each vector, and one without has no use for it."""
+    if bool(options.metadata.fields) != (metadata is not None):
+        raise ValueError("options.metadata and the metadata column go together")
+
+
 def ingest_files(
-    spark: SparkSession, path: str, store_path: str, options: IngestOptions = IngestOptions(), **reader: str
+    spark: SparkSession,
+    path: str,
+    store_path: str,
+    options: IngestOptions = IngestOptions(),
+    prefix: Column | str = "object_id",
+    metadata: Column | None = None,
+    replace: bool = False,
+    **reader: str,
 ) -> VectorStore:
     """Files in a folder to vectors in a store; returns the store.
 
-    With ``on_invalid="quarantine"`` the parts left out are written to ``quarantine_path``
-    before any vector is.
+    ``prefix`` and ``metadata`` are columns over ``object_id``, ``part_start``, ``seq``, ``text``,
+    ``start`` and ``end`` of the finished chunks.  With ``replace`` the vectors that an object had
+    before and has no longer go.  With ``on_invalid="quarantine"`` the parts left out are written to
+    ``quarantine_path`` before any vector is.
     """
     check_quarantine(options)
+    check_metadata_values(options, metadata)
     store = get_store(options.vector_store, spark, store_path, options.dimension, options.metadata)
-    parts = parts_of_files(spark, path, options, **reader)
+    objects = list_objects(spark, path, options.bucket, **reader)
+    parts = read_ranges(plan_parts(objects, options.part_size))
     report_quarantined(parts, options, uuid.uuid4().hex)
-    embed_and_upsert(prepare_parts(parts, options), store, get_provider(options.embedding_model), unique=True)
+    name = F.col(prefix) if isinstance(prefix, str) else prefix
+    embed_and_upsert(
+        prepare_parts(parts, options),
+        store,
+        get_provider(options.embedding_model),
+        prefix,
+        metadata,
+        unique=True,
+        batch_size=options.batch_size,
+        max_concurrent=options.max_concurrent,
+        replaced=objects.select(name.alias("prefix")) if replace else None,
+    )
     return store

@@ -36,9 +36,16 @@ class IngestOptions:
     encoding: str = "utf-8"
     on_invalid: str = "fail"
     quarantine_path: str | None = None
+    #: Chunks embedded and written at a time; as many as provider and store accept if not given.
+    batch_size: int | None = None
+    max_concurrent: int | None = field(default_factory=lambda: int(_env("MAX_CONCURRENT_BATCHES", "0")) or None)
 
     def __post_init__(self):
         check_sizes(self.part_size, self.chunk_size)
+        if self.batch_size is not None and self.batch_size < 1:
+            raise ValueError("batch_size must be at least 1")
+        if self.max_concurrent is not None and self.max_concurrent < 1:
+            raise ValueError("max_concurrent must be at least 1")
         if self.on_invalid not in ("fail", "quarantine"):
             raise ValueError("on_invalid must be 'fail' or 'quarantine'")
 

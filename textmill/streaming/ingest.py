@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textmill.operators.embedding import EmbeddingProvider
-from textmill.plans.ingest import check_quarantine, embed_and_upsert, prepare_parts, report_quarantined
+from textmill.plans.ingest import check_metadata_values, check_quarantine, embed_and_upsert, prepare_parts, report_quarantined
 from textmill.plans.options import IngestOptions
 from textmill.sinks.vectors import VectorStore
 from textmill.sources.notifications import parse_notifications
@@ -53,19 +53,32 @@ def start_ingest(
     checkpoint: str,
     options: IngestOptions = IngestOptions(),
     available_now: bool = True,
+    prefix: Column | str = "object_id",
+    metadata: Column | None = None,
 ) -> StreamingQuery:
     """Start the ingest stream.
 
+    ``prefix`` and ``metadata`` are columns over the finished chunks, as for ``ingest_files``.
+
     A micro-batch that runs again after a failure writes the same ids with the same
     vectors, so delivery at least once is enough.  With ``on_invalid="quarantine"`` each
     micro-batch reports the parts it leaves out in its own folder below ``quarantine_path``.
     """
     check_quarantine(options)
+    check_metadata_values(options, metadata)
 
     def write(batch: DataFrame, number: int) -> None:
         parts = to_parts(batch)
         report_quarantined(parts, options, str(number))
-        embed_and_upsert(prepare_parts(parts, options), store, provider)
+        embed_and_upsert(
+            prepare_parts(parts, options),
+            store,
+            provider,
+            prefix,
+            metadata,
+            batch_size=options.batch_size,
+            max_concurrent=options.max_concurrent,
+        )
 
     writer = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
