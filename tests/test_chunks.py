@@ -210,8 +210,14 @@ def test_resize_with_vocabulary(spark):
 
     streams = random_text_streams(random.Random(4), 120, ["the", " the", "other", ". ", "inner", "!"], longest=20)
     expected = [sequential.resize(c, 6, 17, token_ends=lambda *s: islice(ends(*s), 1, None)) for c in streams]
-    got = resize_chunks(frame(spark, streams, "text"), PART_ORDER, 6, 17, tokenizer="tiny")
-    assert streams_of(got, len(streams)) == expected
+    for order in (PART_ORDER, BLOCKS):
+        got = resize_chunks(frame(spark, streams, "text"), order, 6, 17, tokenizer="tiny")
+        assert streams_of(got, len(streams)) == expected
+    whole = random_text_streams(random.Random(11), 3, ["the", " the", "other", ". ", "inner", "!"], longest=400)
+    parted, blocked = (
+        streams_of(resize_chunks(frame(spark, whole, "text"), order, 6, 17, tokenizer="tiny"), 3) for order in (PART_ORDER, BLOCKS)
+    )
+    assert parted == blocked
     # A hard cut may split a character, which decodes to replacement characters.
     streams = random_text_streams(random.Random(6), 120, ["the", " the", "é", ". ", "inner", "漢"], longest=20)
     got = streams_of(resize_chunks(frame(spark, streams, "text"), PART_ORDER, 6, 17, tokenizer="tiny"), len(streams))

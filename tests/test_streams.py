@@ -1,5 +1,7 @@
 """Offsets, concatenation, batches."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,10 @@ from textmill.operators.batching import (
     effective_batch_size,
     number_batches,
 )
+from textmill.operators.decode import decode_chunks, number_islands
 from textmill.operators.ordered import PART_ORDER, StreamOrder, in_order, previous_row, running_sum
+from textmill.operators.resize import resize_chunks
+from textmill.operators.words import heal_words
 from textmill.operators.wrap import wrap_bytes, wrap_bytes_at, wrap_text, wrap_text_at
 from textmill.schema import DECODED_CHUNK, ENCODED_CHUNK, chunk_difference, distinct_chunks
 
@@ -126,3 +131,51 @@ def test_value_per_batch(spark):
     assert [r.prefix for r in sorted(got, key=lambda r: r.seq)] == ["p0", "p0", "p1", "p1", "p2"]
     with pytest.raises(Exception, match="fewer values"):
         attach_per_batch(df, values.filter("batch < 2"), PART_ORDER, 2).collect()
+
+
+def test_chains_do_not_run_out_of_positions(spark):
+    """Concatenated, decoded, healed, resized and once more: positions stay those of the rows."""
+    order = StreamOrder(block_rows=32, fold_rows=32)
+    whole = "".join(f"Sentence {i} é漢. " for i in range(24)).encode()
+    rows = [("o", 0, 3 * i, whole[7 * i : 7 * i + 7]) for i in range(-(-len(whole) // 7))]
+    half = spark.createDataFrame(rows, "object_id string, part_start bigint, seq bigint, data binary")
+    stream = wrap_bytes(in_order(order, half, half, half.limit(0), half), order)
+    chunks = resize_chunks(heal_words(decode_chunks(stream, order), order), order, 3, 8)
+    chunks = resize_chunks(in_order(order, chunks, chunks), order, 1, 3)
+    found = sorted(chunks.select("seq", "text").collect())
+    assert [r.seq for r in found] == list(range(len(found)))
+    assert "".join(r.text for r in found).count("Sentence") > 2 * 3 * 20
+
+
+def test_positions_past_the_range_of_an_int(spark):
+    order = StreamOrder(block_rows=4, fold_rows=2)
+    rows = [("o", 0, 2**40 + 5 * i, f"word {i}. ") for i in range(9)]
+    df = wrap_text(spark.createDataFrame(rows, "object_id string, part_start bigint, seq bigint, text string"), order)
+    found = resize_chunks(df, order, 2, 4).collect()
+    assert sorted(r.seq for r in found) == list(range(len(found)))
+    whole = resize_chunks(df, PART_ORDER, 2, 4).collect()
+    key = lambda r: (r.seq, r.text, r.start, r.end)
+    assert sorted(map(key, found)) == sorted(map(key, whole))
+
+
+def test_chained_operators_read_their_input_once(spark, sf):
+    """One scan whatever the chain, and per operator one shuffle of the rows and a few of block summaries."""
+    order = StreamOrder(keys=("conv_id",), seq="turn")
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "text")
+    wrapped = wrap_text(turns, order)
+    healed = heal_words(wrapped, order)
+    for chain, most in ((wrapped, 4), (healed, 8), (number_islands(healed, order), 14)):
+        chain.collect()
+        plan = chain._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("FileScan") == 1
+        assert len(re.findall(r"\+- Exchange|:- Exchange", plan)) <= most
+
+
+def test_streams_without_a_name(spark):
+    rows = [(None, None, i, f"w{i} ") for i in range(9)] + [("o", 0, i, "abc") for i in range(5)]
+    df = spark.createDataFrame(rows, "object_id string, part_start bigint, seq bigint, text string")
+    order = StreamOrder(block_rows=2)
+    found = wrap_text(df, order).collect()
+    assert sorted((r.start, r.end) for r in found if r.object_id is None) == [(3 * i, 3 * i + 3) for i in range(9)]
+    assert sorted(r.start for r in found if r.object_id) == [0, 3, 6, 9, 12]
+    assert {r.island for r in number_islands(wrap_text(df, order), order).collect()} == {0}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textmill.functions import utf8
 from textmill.functions.arrays import fold_with_output, let
 from textmill.functions.tokens import CHUNK
-from textmill.operators.ordered import StreamOrder, fold_stream, previous_row, running_sum
+from textmill.operators.ordered import StreamOrder, count_breaks, fold_stream
 
 _INVALID = "chunk is not valid UTF-8"
 
@@ -100,11 +100,4 @@ def decode_chunks(
 
 def number_islands(df: DataFrame, order: StreamOrder, name: str = "island") -> DataFrame:
     """Number the runs of chunks that continue each other byte for byte."""
-    linked = previous_row(df, order, F.col("end"), "__previous_end").withColumn(
-        "__gap", F.when(F.col("start") == F.coalesce("__previous_end", F.lit(0)), 0).otherwise(1)
-    )
-    return (
-        running_sum(linked, order, F.col("__gap"), "__gaps")
-        .withColumn(name, (F.col("__gaps") + F.col("__gap")).cast("bigint"))
-        .drop("__gaps", "__gap", "__previous_end")
-    )
+    return count_breaks(df, order, "start", "end", name)

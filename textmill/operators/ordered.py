@@ -17,9 +17,7 @@ from pyspark.sql import functions as F
 from textmill.session import materialize
 
 _BLOCK = "__block"
-# Positions per source in a concatenation, and emitted rows per block.
-_SOURCE_ROOM = 1 << 40
-_BLOCK_ROOM = 1 << 24
+_LAST = 1 << 62
 
 
 @dataclass(frozen=True)
@@ -56,49 +54,136 @@ PART_ORDER = StreamOrder(block_rows=None)
 _LEVELS = 2
 
 
-def running_sum(
-    df: DataFrame, order: StreamOrder, value: Column, name: str, levels: int = _LEVELS
+#: Stream and block in one value, which is never null whatever the names of streams.
+_AT = "__at"
+
+
+def _at(order: StreamOrder, block: Column) -> Column:
+    return F.struct(*order.keys, block.alias("block")).alias(_AT)
+
+
+def shared_blocks(df: DataFrame, order: StreamOrder, **more: Column) -> DataFrame:
+    """``df`` dealt by stream and block (``__at``), with ``more`` columns; all readers share one shuffle.
+
+    Readers that need some of the columns only would have the optimizer plan a shuffle of those
+    for each.  Rows therefore travel as one value, an element that no rule looks into, which is the
+    same for all readers.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns] + [value.alias(name) for name, value in more.items()]
+    at = _at(order, order.ranges(order.block_rows))
+    dealt = df.select(at, F.array(F.struct(*columns)).alias("__row")).repartition(_AT)
+    opened = dealt.withColumn("__row", F.try_element_at("__row", F.lit(1)))
+    return opened.select(_AT, *[F.col(f"__row.`{c}`").alias(c) for c in (*df.columns, *more)])
+
+
+def _summaries(rows: DataFrame, order: StreamOrder, *values: Column) -> DataFrame:
+    """One row per block with its summary, as a stream of its own."""
+    return rows.groupBy(_AT).agg(*values).select(f"{_AT}.*", "*").drop(_AT)
+
+
+def _beside(rows: DataFrame, found: DataFrame, order: StreamOrder, *names: str) -> DataFrame:
+    """``rows`` with what was found for their block; they stay where they are.
+
+    Every block is found.  An outer join is one that never broadcasts the rows.
+    """
+    return rows.join(found.select(_at(order, F.col("block")), *names), _AT, "left")
+
+
+def scan(
+    df: DataFrame,
+    order: StreamOrder,
+    sums: dict[str, Column] | None = None,
+    lasts: dict[str, Column] | None = None,
+    levels: int = _LEVELS,
 ) -> DataFrame:
-    """Add the sum of ``value`` over the rows before this one (0 for the first)."""
+    """Add, for every row, sums over the rows before it (0 for the first) and values of the row before.
+
+    All of them come from one shuffle: a block's summary has the total of each sum and the last of
+    each value, summaries are scanned as a stream of their own, and rows are completed from that
+    of the blocks before theirs.
+    """
+    sums, lasts = sums or {}, lasts or {}
 
-    def before(window):
-        frame = window.rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum(value).over(frame), F.lit(0))
+    def before(value: Column, window) -> Column:
+        return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
     if order.block_rows is None or levels == 0:
-        return df.withColumn(name, before(order.rows()))
-    block, total, base = (f"__{part}{levels}" for part in ("block", "total", "base"))
-    keys = [*order.keys, block]
-    blocked = df.withColumn(block, order.ranges(order.block_rows))
-    totals = blocked.groupBy(*keys).agg(F.sum(value).alias(total))
-    bases = running_sum(totals, order.of_blocks(block), F.col(total), base, levels - 1)
-    return (
-        blocked.join(bases.select(*keys, base), keys, "left")
-        .withColumn(name, F.col(base) + before(order.rows(block)))
-        .drop(base, block)
+        window = order.rows()
+        return df.withColumns(
+            {name: before(value, window) for name, value in sums.items()}
+            | {name: F.lag(value).over(window) for name, value in lasts.items()}
+        )
+    held = {name: f"__{name}{levels}" for name in (*sums, *lasts)}
+    base = {name: f"{held[name]}_base" for name in held}
+    rows = shared_blocks(df, order, **{held[name]: value for name, value in (*sums.items(), *lasts.items())})
+    summaries = _summaries(
+        rows,
+        order,
+        *[F.sum(held[name]).alias(held[name]) for name in sums],
+        *[F.max_by(held[name], order.seq).alias(held[name]) for name in lasts],
+    )
+    bases = scan(
+        summaries,
+        order.of_blocks("block"),
+        {base[name]: F.col(held[name]) for name in sums},
+        {base[name]: F.col(held[name]) for name in lasts},
+        levels - 1,
     )
+    window = Window.partitionBy(_AT).orderBy(order.seq)
+    found = {name: F.col(base[name]) + before(F.col(held[name]), window) for name in sums}
+    for name in lasts:
+        first = F.row_number().over(window) == 1
+        found[name] = F.when(first, F.col(base[name])).otherwise(F.lag(held[name]).over(window))
+    placed = _beside(rows, bases, order, *base.values())
+    return placed.select(*df.columns, *[value.alias(name) for name, value in found.items()])
+
+
+def running_sum(
+    df: DataFrame, order: StreamOrder, value: Column, name: str, levels: int = _LEVELS
+) -> DataFrame:
+    """Add the sum of ``value`` over the rows before this one (0 for the first)."""
+    return scan(df, order, sums={name: value}, levels=levels)
 
 
 def previous_row(
     df: DataFrame, order: StreamOrder, value: Column, name: str, levels: int = _LEVELS
 ) -> DataFrame:
     """Add ``value`` of the row before this one (NULL for the first of the stream)."""
-    if order.block_rows is None or levels == 0:
-        return df.withColumn(name, F.lag(value).over(order.rows()))
-    block, last, carried = (f"__{part}{levels}" for part in ("block", "last", "carried"))
-    keys = [*order.keys, block]
-    blocked = df.withColumn(block, order.ranges(order.block_rows))
-    ends = blocked.groupBy(*keys).agg(F.max_by(value, F.col(order.seq)).alias(last))
-    links = previous_row(ends, order.of_blocks(block), F.col(last), carried, levels - 1)
-    window = order.rows(block)
-    return (
-        blocked.join(links.select(*keys, carried), keys, "left")
-        .withColumn(
-            name,
-            F.when(F.row_number().over(window) == 1, F.col(carried)).otherwise(F.lag(value).over(window)),
-        )
-        .drop(carried, block)
+    return scan(df, order, lasts={name: value}, levels=levels)
+
+
+def count_breaks(df: DataFrame, order: StreamOrder, start: str, end: str, name: str) -> DataFrame:
+    """Add how many rows up to this one do not start where the row before ends; the first is expected at 0.
+
+    A block's summary is where it starts and ends and how many breaks are inside it.
+    """
+
+    def breaks(at: Column, expected: Column) -> Column:
+        return F.when(at == F.coalesce(expected, F.lit(0)), 0).otherwise(1).cast("bigint")
+
+    if order.block_rows is None:
+        window = order.rows()
+        broken = df.withColumn("__break", breaks(F.col(start), F.lag(end).over(window)))
+        return broken.withColumn(name, F.sum("__break").over(window.rowsBetween(Window.unboundedPreceding, 0))).drop("__break")
+    window = Window.partitionBy(_AT).orderBy(order.seq)
+    rows = shared_blocks(df, order)
+    # The first row of a block is judged by the block before.
+    inside = F.when(F.row_number().over(window) == 1, 0).otherwise(breaks(F.col(start), F.lag(end).over(window)))
+    rows = rows.withColumn("__inside", inside.cast("bigint"))
+    summaries = _summaries(
+        rows,
+        order,
+        F.min_by(start, order.seq).alias("__start"),
+        F.max_by(end, order.seq).alias("__end"),
+        F.sum("__inside").alias("__n"),
     )
+    of_blocks = order.of_blocks("block")
+    linked = scan(summaries, of_blocks, lasts={"__expected": F.col("__end")}, levels=_LEVELS - 1)
+    linked = linked.withColumn("__first", breaks(F.col("__start"), F.col("__expected")))
+    bases = scan(linked, of_blocks, sums={"__before": F.col("__first") + F.col("__n")}, levels=_LEVELS - 1)
+    bases = bases.withColumn("__base", F.col("__before") + F.col("__first"))
+    running = F.sum("__inside").over(window.rowsBetween(Window.unboundedPreceding, 0))
+    return _beside(rows, bases, order, "__base").select(*df.columns, (F.col("__base") + running).alias(name))
 
 
 def explode_rows(df: DataFrame, keep: list[str], items: Column, at: str, row: str) -> DataFrame:
@@ -122,7 +207,7 @@ def fold_stream(
     """Run an ordered fold over each stream and return its emitted rows.
 
     ``fold(chunks, state)`` gives ``struct(state, out)``.  Rows come back with the
-    stream keys, a new ``seq`` and the fields of ``out``.
+    stream keys, a new ``seq`` from 0 without holes and the fields of ``out``.
 
     Blocks of a long stream run side by side.  Every block is folded from a guessed
     state, then from each state its predecessor was seen to end in, until no block ends
@@ -137,19 +222,15 @@ def fold_stream(
     keys = list(order.keys)
     item = F.struct(order.seq, *payload)
 
-    def rows(folded: DataFrame, more: list[str]) -> DataFrame:
-        emitted = explode_rows(folded, [*keys, *more], F.col("__fold.out"), "__at", "__row")
-        at = F.col("__at").cast("bigint")
-        if more:
-            # A block may emit more rows than it has chunks: the block takes the high bits.
-            at = F.when(at < _BLOCK_ROOM, F.col(_BLOCK) * F.lit(_BLOCK_ROOM) + at).otherwise(
-                F.raise_error(F.lit("too many rows in one block; lower fold_rows")).cast("bigint")
-            )
-        return emitted.select(*keys, at.alias(order.seq), "__row.*")
+    def rows(folded: DataFrame) -> DataFrame:
+        """Emitted rows; positions go on from ``__base``."""
+        emitted = explode_rows(folded, [*keys, "__base"], F.col("__fold.out"), "__at", "__row")
+        return emitted.select(*keys, (F.col("__base") + F.col("__at")).alias(order.seq), "__row.*")
 
+    start = F.lit(0).cast("bigint").alias("__base")
     if order.block_rows is None:
         whole = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__chunks"))
-        return rows(whole.select(*keys, fold(F.col("__chunks"), zero).alias("__fold")), [])
+        return rows(whole.select(*keys, start, fold(F.col("__chunks"), zero).alias("__fold")))
 
     block_keys = [*keys, _BLOCK]
     # An explicit number of tasks: folding is heavy for its bytes, and partitions merged
@@ -162,26 +243,34 @@ def fold_stream(
         .agg(F.array_sort(F.collect_list(item)).alias("__chunks"))
     )
     final = fold(F.col("__chunks"), F.col("__in"))
-    state = (probe(F.col("__chunks"), F.col("__in")) if probe else final)["state"].alias("__out")
+
+    def ends(from_state: DataFrame) -> DataFrame:
+        """The state each block ends in and how many rows it emits, from ``__in``."""
+        tried = probe(F.col("__chunks"), F.col("__in")) if probe else final
+        done = from_state.select(*block_keys, "__in", tried.alias("__fold"))
+        return done.select(
+            *block_keys, "__in", F.col("__fold.state").alias("__out"), F.size("__fold.out").cast("bigint").alias("__n")
+        )
+
     begin = guess(F.get("__chunks", F.lit(0))) if guess else zero
 
     links = previous_row(
         blocks.select(*block_keys), order.of_blocks(_BLOCK), F.col(_BLOCK), "__previous", levels=1
     )
     if links.filter(F.col("__previous").isNotNull()).isEmpty():
-        whole = blocks.withColumn("__in", zero).select(*block_keys, final.alias("__fold"))
-        return rows(whole, [_BLOCK])
-    seen = materialize(blocks.withColumn("__in", begin).select(*block_keys, "__in", state))
+        return rows(blocks.withColumn("__in", zero).select(*keys, start, final.alias("__fold")))
+    seen = materialize(ends(blocks.withColumn("__in", begin)))
     while True:
         wanted = _next_states(links, seen, block_keys, zero)
         new = wanted.join(seen.select(*block_keys, "__in"), [*block_keys, "__in"], "left_anti")
         if new.isEmpty():
             break
-        more = blocks.join(new, block_keys).select(*block_keys, "__in", state)
-        seen = materialize(seen.unionByName(more))
-    states = _true_states(links, seen, wanted, block_keys)
-    folded = blocks.join(states, block_keys).select(*block_keys, final.alias("__fold"))
-    return rows(folded, [_BLOCK])
+        seen = materialize(seen.unionByName(ends(blocks.join(new, block_keys))))
+    states = _true_states(links, seen, wanted, block_keys).join(seen, [*block_keys, "__in"])
+    # Positions go on where the block before ends, so they are dense whatever the blocks emit.
+    placed = running_sum(states, order.of_blocks(_BLOCK), F.col("__n"), "__base", levels=1)
+    folded = blocks.join(placed, block_keys).select(*keys, F.col("__base").cast("bigint").alias("__base"), final.alias("__fold"))
+    return rows(folded)
 
 
 def _next_states(links: DataFrame, seen: DataFrame, block_keys: list[str], zero: Column) -> DataFrame:
@@ -229,13 +318,13 @@ def _true_states(links: DataFrame, seen: DataFrame, wanted: DataFrame, block_key
 def in_order(order: StreamOrder, *streams: DataFrame) -> DataFrame:
     """Concatenate streams: all rows of the first, then all rows of the next.
 
-    The source number goes into the high bits of the position, so nothing is shuffled.
+    The rows of a source stand behind the highest position of the sources before, so positions
+    stay in proportion to the rows, and nothing is shuffled but one number per source.
     """
-    seq = F.col(order.seq)
-    checked = F.when((seq >= 0) & (seq < _SOURCE_ROOM), seq).otherwise(
-        F.raise_error(F.lit(f"{order.seq} must lie in [0, 2^40)")).cast("bigint")
+    position = F.col(order.seq).cast("bigint")
+    seq = F.when((position >= 0) & (position < _LAST), position).otherwise(
+        F.raise_error(F.lit(f"{order.seq} must lie in [0, 2^62)")).cast("bigint")
     )
-    numbered = [
-        df.withColumn(order.seq, checked + F.lit(i * _SOURCE_ROOM)) for i, df in enumerate(streams)
-    ]
+    rooms = [df.agg(F.coalesce(F.max(position) + 1, F.lit(0))).scalar() for df in streams[:-1]]
+    numbered = [df.withColumn(order.seq, reduce(Column.__add__, rooms[:i], seq)) for i, df in enumerate(streams)]
     return reduce(DataFrame.unionByName, numbered)

@@ -15,12 +15,13 @@ from textmill.functions.tokens import (
     WordTokenizer,
     get_tokenizer,
     is_native,
+    no_tokens,
     nothing_left,
-    resize_array,
+    resize_external_fold,
     resize_fold,
     resize_one,
 )
-from textmill.operators.ordered import StreamOrder, explode_rows, fold_stream
+from textmill.operators.ordered import StreamOrder, fold_stream
 
 
 def resize_chunks(
@@ -35,38 +36,20 @@ def resize_chunks(
     """Resize a stream of text chunks ``(…order, text, start, end)``.
 
     What stays below the minimum waits for the next chunk and is lost at a gap or at
-    the end of the stream.  External tokenizers need streams bounded as parts are.
+    the end of the stream.  Outside tokenizers run in Arrow workers, block by block as the
+    others do: the state that a block starts from is the tokens left over before it.
     """
     found = get_tokenizer(tokenizer)
-    payload = ["text", "start", "end"]
-    if is_native(found, delimiters) and order.block_rows is not None:
-        out = fold_stream(
-            df,
-            order,
-            payload,
-            nothing_left(),
-            lambda c, s: resize_fold(c, s, found, min_tokens, max_tokens, delimiters),
-            guess=lambda first: nothing_left(first["start"]),
-        )
-    elif order.block_rows is not None:
-        raise ValueError("external tokenizers need part-bounded streams (block_rows=None)")
-    else:
-        keys = list(order.keys)
-        item = F.struct(order.seq, *payload)
-        whole = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("__chunks"))
-        resized = whole.select(
-            *keys,
-            resize_array(
-                F.transform("__chunks", lambda c: F.struct(*[c[f].alias(f) for f in payload])),
-                found,
-                min_tokens,
-                max_tokens,
-                delimiters,
-            ).alias("__out"),
-        )
-        out = explode_rows(resized, keys, F.col("__out"), order.seq, "__row").select(
-            *keys, F.col(order.seq).cast("bigint").alias(order.seq), "__row.*"
-        )
+    native = is_native(found, delimiters)
+    cut, nothing = (resize_fold, nothing_left) if native else (resize_external_fold, no_tokens)
+    out = fold_stream(
+        df,
+        order,
+        ["text", "start", "end"],
+        nothing(),
+        lambda c, s: cut(c, s, found, min_tokens, max_tokens, delimiters),
+        guess=lambda first: nothing(first["start"]),
+    )
     return out.withColumn("encoding", F.lit(encoding))
 
 
