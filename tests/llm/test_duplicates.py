@@ -192,3 +192,33 @@ def test_components_of_a_chain(spark):
 @pytest.mark.parametrize("operator", [remove_copied_words, remove_repeated_bytes, near_duplicates])
 def test_empty_tables_give_empty_results(spark, operator):
     assert operator(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def nodes_of(texts):
+    return Shingles(pa.array(texts), False).nodes.view(np.int64)
+
+
+def test_links_of_many_near_copies_stay_few(spark):
+    base = [f"w{i}" for i in range(300)]
+    copies = [" ".join([*base[: i % 300], f"x{i}", *base[i % 300 + 1 :]]) for i in range(1000)]
+    others = [" ".join(f"z{i}-{j}" for j in range(300)) for i in range(3000)]
+    # The hub of the band, its smallest node, is like none of the others.
+    outlier = others[int(nodes_of(others).argmin())]
+    nodes = nodes_of([outlier, *copies]).tolist()
+    assert min(nodes) == nodes[0]
+    signed = spark.createDataFrame([(n, [7]) for n in nodes], "node long, bands array<long>")
+    links = near_links(spark.createDataFrame([(t,) for t in [outlier, *copies]], "text string"), signed).collect()
+    assert len(links) < 2000
+    assert {x for r in links for x in (r["a"], r["b"])} == set(nodes[1:])
+
+
+def test_hashes_tell_repeated_patterns_apart(spark):
+    # Words over two letters that a sum of powers modulo 2**64 cannot tell apart.
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    one, other = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(1, " ".join([one, *words])), (2, " ".join([other, *words]))]
+    found = remove_copied_words(spark.createDataFrame(rows, DOCS)).collect()
+    assert [r["n_removed"] for r in found] == [0, 0]
+    texts = [" ".join(one), " ".join(other)]
+    assert len(set(nodes_of([*texts, one, other]).tolist())) == 4

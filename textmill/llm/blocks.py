@@ -151,6 +151,59 @@ class Rolling:
         return mixed((self.sums[ends] - self.sums[starts]) * self.down[starts])
 
 
+def joined(values: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all runs of ``length`` values, by start.
+
+    Runs are put together from shorter ones, doubling, and mixed at every step, so that no
+    pattern of repetitions cancels out as it may in a sum of powers.
+    """
+    put = lambda a, b: mixed(a * np.uint64(0xC2B2AE3D27D4EB4F) + b)
+    level, span, done, reach = values, 1, None, 0
+    while True:
+        if length & span:
+            rest = level[reach:]
+            done = rest if done is None else put(done[: len(rest)], rest)
+            reach += span
+        if span * 2 > length:
+            return done[: max(0, len(values) - length + 1)]
+        level = put(level[:-span], level[span:]) if len(level) > span else level[:0]
+        span *= 2
+
+
+#: Values of bytes by place, for the first places of a word.
+_PLACES = 64
+_place_step = np.uint64(0x9FB21C651E98DF25)
+_placed = mixed((np.arange(1, _PLACES + 1, dtype=np.uint64) * _place_step)[:, None] + _byte_values[None, :]).ravel()
+#: Bytes looked at in one go.
+_GO = 1 << 18
+
+
+def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of bytes that do not overlap, in order: sums of a random value for each byte and place."""
+    out = np.zeros(len(starts), np.uint64)
+    sizes = ends - starts
+    reach = np.cumsum(sizes)
+    low = 0
+    while low < len(starts):
+        high = max(low + 1, int(np.searchsorted(reach, (reach[low - 1] if low else 0) + _GO, side="right")))
+        n = sizes[low:high]
+        # One long word alone, in several goes.
+        for skip in range(0, max(int(n.max()), 1), _GO) if high == low + 1 else (0,):
+            part = np.minimum(n - skip, _GO)
+            begins = np.cumsum(part) - part
+            place = np.arange(int(part.sum())) - np.repeat(begins, part) + skip
+            seen = text[place + np.repeat(starts[low:high], part)]
+            if len(place) and place.max() < _PLACES:
+                values = _placed[place * 256 + seen]
+            else:
+                values = mixed((place + 1).astype(np.uint64) * _place_step + _byte_values[seen])
+            sums = np.zeros(len(values) + 1, np.uint64)
+            np.cumsum(values, out=sums[1:])
+            out[low:high] += sums[begins + part] - sums[begins]
+        low = high
+    return mixed(out)
+
+
 def least(values: np.ndarray, width: int) -> np.ndarray:
     """The smallest of each ``width`` neighbouring values, by start."""
     n = len(values) - width + 1

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Block, Rolling, block_table, least, numbers, part_of, repeated_keys, rows_of, with_replies
+from .blocks import Block, block_table, joined, least, numbers, part_of, repeated_keys, rows_of, with_replies, word_hashes
 from .common import SPACES, shuffle_partitions, staged
 
 #: Words of a run; words of an anchor within it.
@@ -46,13 +46,12 @@ class Words:
         self.doc = np.searchsorted(block.ends, starts, side="right")
         self.first = np.searchsorted(starts, block.starts)
         self.count = np.append(self.first[1:], len(starts)) - self.first
-        self.hashes = Rolling.of_bytes(block.text).stretches(starts, ends)
-        rolling = Rolling(self.hashes)
-        self.runs = rolling.every(RUN)
+        self.hashes = word_hashes(block.text, starts, ends)
+        self.runs = joined(self.hashes, RUN)
         whole = self.doc[: len(self.runs)] == self.doc[RUN - 1 :] if len(self.runs) else np.zeros(0, bool)
         self.at = np.flatnonzero(whole)
         self.runs = self.runs[self.at]
-        self.anchors = least(rolling.every(ANCHOR), RUN - ANCHOR + 1)[self.at]
+        self.anchors = least(joined(self.hashes, ANCHOR), RUN - ANCHOR + 1)[self.at]
 
 
 def _anchor_keys(block: Block) -> tuple[np.ndarray, np.ndarray]:

@@ -8,8 +8,9 @@ their weighted Jaccard similarity.  Ranks are opened in strips, each twice as wi
 coordinate has a dart, so a text costs about the same few thousand darts whatever its length.
 
 Coordinates are joined in bands.  Texts that share a band meet one hub, the smallest of them, and
-links are confirmed on the words themselves; texts of a band that no links connect with its hub
-are compared with all texts of the band.  Equal texts are one node throughout.
+links are confirmed on the words themselves; those that are not like it meet a second hub, the
+smallest of theirs.  What no links connect with the first hub even then is compared with all texts of the band that have
+another root.  Equal texts are one node throughout.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .blocks import Rolling, mixed
-from .common import give_back, staged, text_slices
+from .blocks import joined, mixed
+from .common import give_back, release, staged, text_slices
 from .components import components
 from .factors import Words
 
@@ -51,14 +52,16 @@ class Shingles:
         data = np.frombuffer(raw, np.uint8)[bounds[0] : bounds[-1]] if raw else np.zeros(0, np.uint8)
         bounds = bounds - bounds[0]
         words = Words(SimpleNamespace(text=data, starts=bounds[:-1], ends=bounds[1:]))
-        rolling = Rolling(words.hashes)
         first, self.n_words = words.first, words.count
-        last = first + self.n_words
-        whole = rolling.stretches(first, last) + self.n_words.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        # A text is the sum of a random value for each word and place.
+        place = np.arange(1, len(words.hashes) + 1) - np.repeat(first, self.n_words)
+        sums = np.zeros(len(place) + 1, np.uint64)
+        np.cumsum(mixed(words.hashes + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), out=sums[1:])
+        whole = sums[first + self.n_words] - sums[first] + self.n_words.astype(np.uint64)
         self.nodes = mixed(whole)
         if not with_runs:
             return
-        runs = rolling.every(SHINGLE)
+        runs = joined(words.hashes, SHINGLE)
         inside = np.flatnonzero(words.doc[: len(runs)] == words.doc[SHINGLE - 1 :]) if len(runs) else np.zeros(0, np.int64)
         # A text of fewer words is one run of all it has.
         short = np.flatnonzero((self.n_words > 0) & (self.n_words < SHINGLE))
@@ -176,61 +179,84 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare_all(table: pa.Table) -> pa.Table:
-    """Links between the texts of one chunk and those of another (or the same) of one band."""
+    """Links between the texts of one chunk and those of another (or the same) of one band.
+
+    Texts that links connect already, by ``root`` or found here, are not compared: a chunk of n
+    texts gives n - 1 links at most.
+    """
     left = table.column("left").to_numpy()
-    settled = table.column("settled").to_numpy()
     nodes = table.column("node").to_numpy()
+    _, label = np.unique(table.column("root").to_numpy(), return_inverse=True)
     found = Shingles(table.column("text").combine_chunks())
     runs = np.split(found.runs, np.searchsorted(found.doc, np.arange(1, len(nodes))))
     lone = bool(table.column("lone")[0].as_py())
-    one = np.flatnonzero(left)
+    one, other = np.flatnonzero(left), np.flatnonzero(~left)
     out = []
     for i in one.tolist():
-        for j in (one[one > i] if lone else np.flatnonzero(~left)).tolist():
-            if alike(runs[i], runs[j]):
+        others = one[one > i] if lone else other
+        for j in others[label[others] != label[i]].tolist():
+            if label[i] != label[j] and alike(runs[i], runs[j]):
                 out.append((nodes[i], nodes[j]))
-                # The settled texts of a band are connected already, so one link to them is enough.
-                if settled[j]:
-                    break
+                label[label == label[j]] = label[i]
     give_back()
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
-def near_links(docs: DataFrame, signed: DataFrame) -> DataFrame:
-    """``a, b``: links between nodes, enough of them to connect all similar texts that share a band."""
-    spark = docs.sparkSession
+def _judged(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, hub, same`` of pairs ``node, hub``."""
+    hub_texts = texts.select(F.col("node").alias("hub"), F.col("text").alias("hub_text"))
+    both = pairs.join(texts, "node").join(hub_texts, "hub").select("node", "hub", "text", "hub_text")
+    return staged(both.mapInArrow(_compare, "node long, hub long, same boolean"), "judged")
+
+
+def _same(judged: DataFrame) -> DataFrame:
+    return judged.filter("same").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+
+
+def near_links(docs: DataFrame, signed: DataFrame, made: list[DataFrame] | None = None) -> DataFrame:
+    """``a, b``: links between nodes, enough of them to connect all similar texts that share a band.
+
+    Their number is in proportion to the texts.  What was written on the way is added to ``made``.
+    """
+    made = [] if made is None else made
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        made.append(staged(df, name))
+        return made[-1]
+
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"))
     banded = nodes.select("node", F.explode("bands").alias("band"))
     hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    met = staged(banded.join(hubs, "band").filter("node <> hub"), "bands")
+    met = kept(banded.join(hubs, "band").filter("node <> hub"), "bands")
     pairs = met.select("node", "hub").distinct()
 
     wanted = pairs.select("node").unionByName(pairs.select(F.col("hub").alias("node"))).distinct()
     named = with_nodes(docs.select("text"))
-    texts = staged(named.join(wanted, "node").dropDuplicates(["node"]), "texts")
-    hub_texts = texts.select(F.col("node").alias("hub"), F.col("text").alias("hub_text"))
-    judged = staged(
-        pairs.join(texts, "node").join(hub_texts, "hub").select("node", "hub", "text", "hub_text")
-        .mapInArrow(_compare, "node long, hub long, same boolean"),
-        "judged",
-    )
-    links = judged.filter("same").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-
-    # What the hubs' links leave apart from the hub of a band is compared with all texts of the band,
-    # in chunks; the others of the band are connected with the hub and settled.
-    stars = staged(components(links), "stars")
+    texts = kept(named.join(wanted, "node").dropDuplicates(["node"]), "texts")
+    first = _judged(pairs, texts)
+    made.append(first)
+
+    # Texts that are not like their hub are strangers; the smallest is their hub in turn.
+    strangers = met.join(first.filter("not same").drop("same"), ["node", "hub"]).select("band", "node")
+    strangers = kept(strangers, "strangers")
+    second = strangers.groupBy("band").agg(F.min("node").alias("hub"))
+    made.append(_judged(strangers.join(second, "band").filter("node <> hub").select("node", "hub").distinct(), texts))
+    stars = components(_same(first).unionByName(_same(made[-1])))
+    made.append(stars)
     roots = lambda name: stars.select(F.col("a").alias(name), F.col("b").alias(f"{name}_root"))
-    apart = judged.filter("not same").select("node", "hub").join(roots("node"), "node", "left").join(roots("hub"), "hub", "left")
-    apart = apart.filter(F.coalesce("node_root", "node") != F.coalesce("hub_root", "hub")).select("node", "hub", F.lit(False).alias("s"))
-    members = met.join(apart, ["node", "hub"], "left").select("band", "node", F.coalesce("s", F.lit(True)).alias("settled"))
-    members = staged(members, "members")
+    rooted = met.join(roots("node"), "node", "left").join(roots("hub"), "hub", "left")
+    root, hub_root = F.coalesce("node_root", "node"), F.coalesce("hub_root", "hub")
+    members = kept(rooted.select("band", "node", root.alias("root"), (root == hub_root).alias("settled")), "members")
+
+    # What is apart still is compared with all texts of the band that have another root, in chunks.
     strange = F.when(~F.col("settled"), F.col("node"))
     sizes = members.groupBy("band").agg(
         F.count("*").alias("n"), F.count(strange).alias("strangers"),
+        F.min("root").alias("least"), F.max("root").alias("most"),
         # Bands with the same texts and the same strangers need one comparison.
         F.min("node").alias("low"), F.max("node").alias("high"),
         F.sum(F.xxhash64("node", "settled").cast("decimal(38,0)")).alias("all"),
-    ).filter("strangers > 0 and n > 1")
+    ).filter("strangers > 0 and least <> most")
     sizes = sizes.groupBy("n", "strangers", "low", "high", "all").agg(F.min("band").alias("band"))
     sizes = sizes.select(
         "band", F.ceil(F.col("strangers") / CHUNK).alias("of"), F.ceil((F.col("n") - F.col("strangers")) / CHUNK).alias("more")
@@ -243,11 +269,11 @@ def near_links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     # Settled texts meet strangers only.
     last = F.when(F.col("settled"), F.col("of")).otherwise(F.col("of") + F.col("more")) - 1
     dealt = chunked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
-        "band", "node", "settled", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"),
+        "band", "node", "root", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"),
         (F.col("chunk") <= F.col("other")).alias("left"), (F.col("chunk") == F.col("other")).alias("lone"),
     )
     more = dealt.join(texts, "node").groupBy("band", "x", "y").applyInArrow(_compare_all, "a long, b long")
-    return links.unionByName(more)
+    return stars.unionByName(more)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -266,10 +292,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         plain.mapInArrow(_sign, f"doc_id {plain.schema['doc_id'].dataType.simpleString()}, node long, bands array<long>"),
         "signed",
     )
-    stars = components(near_links(plain, signed)).select(F.col("a").alias("node"), F.col("b").alias("root"))
+    made: list[DataFrame] = []
+    stars = components(near_links(plain, signed, made)).select(F.col("a").alias("node"), F.col("b").alias("root"))
+    for scratch in made:
+        release(scratch)
     rows = signed.select("doc_id", "node").join(stars, "node", "left")
     rows = rows.select("doc_id", "node", F.coalesce("root", "node").alias("root"), F.monotonically_increasing_id().alias("row"))
     rows = staged(rows, "classes")
+    release(stars)
+    release(signed)
     # Smallest id first, then the first row that has it; null ids last.
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     classes = rows.groupBy("root").agg(F.min(place).alias("best"), F.count("*").alias("class_size"))
