@@ -5,8 +5,9 @@ from collections import Counter, defaultdict
 import pytest
 
 from textmill.llm import divergence
-from textmill.llm.divergence import TERM, audit_sources
+from textmill.llm.divergence import audit_sources
 
+TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 DOCS = "doc_id long, text string, lang string, source string"
 
 
@@ -68,6 +69,7 @@ def test_audit_equals_counting_by_hand(spark):
 def test_small_blocks_tiles_and_cells_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(divergence, "TILE", 3)
     monkeypatch.setattr(divergence, "CELL_ROWS", 40)
+    monkeypatch.setattr(divergence, "PART_BYTES", 20)
     rows = sample(4, 120)
     found = plain(audit_sources(spark.createDataFrame(rows, DOCS).repartition(7), most_terms=5))
     assert found == brute(rows, most=5)
