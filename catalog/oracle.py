@@ -287,7 +287,16 @@ FROM events
 """
 _KEPT = f"SELECT body FROM ({_SENT}) WHERE coalesce(json_extract_string(body, '$.Event'), '') <> 's3:TestEvent'"
 
+_LINES = """SELECT coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source,
+    translate(coalesce(text, ''), chr(10) || chr(13), '  ') AS line FROM documents"""
+
 ORACLE: dict[str, str] = {
+    "written_read": f"""SELECT lang, source, count(*) AS documents, sum(strlen(line) + 1)::BIGINT AS bytes,
+        sum(('0x' || substr(md5(line), 1, 8))::BIGINT)::BIGINT AS digest FROM ({_LINES}) GROUP BY ALL""",
+    "written_sizes": f"SELECT lang, source, sum(strlen(line) + 1)::BIGINT AS bytes FROM ({_LINES}) GROUP BY ALL",
+    "written_part_reads": f"""SELECT lang, source, sum(strlen(line) + 1)::BIGINT AS planned, sum(strlen(line) + 1)::BIGINT AS bytes,
+        count(*) AS documents, sum(strlen(line) - strlen(replace(line, 'e', '')))::BIGINT AS es, true AS bounded
+        FROM ({_LINES}) GROUP BY ALL""",
     "object_read": f"SELECT object_id, length, md5(text) AS digest FROM ({_OBJECTS})",
     "object_sizes": "SELECT 'pages/' || page_id AS object_id, strlen(html) AS length FROM pages",
     "part_ranges": f'SELECT object_id, strlen(text) AS length, start, "end" FROM ({_parts(1000)})',

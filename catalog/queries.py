@@ -124,6 +124,58 @@ def file_sizes(spark, folder):
     return list_objects(spark, folder, "tables", pathGlobFilter="*.parquet").select("object_id", "length")
 
 
+def _as_files(spark, folder) -> str:
+    """The documents as lines of text files, a folder per language and source; the path of all."""
+    line = F.translate(F.coalesce("text", F.lit("")), "\n\r", "  ").alias("value")
+    names = [F.coalesce(c, F.lit("none")).alias(c) for c in ("lang", "source")]
+    path = new_folder(spark)
+    table(spark, folder, "documents", "lang", "source", "text").select(*names, line).write.partitionBy("lang", "source").text(path)
+    return path
+
+
+_FILES = {"recursiveFileLookup": "true", "pathGlobFilter": "*.txt"}
+
+
+def _named(objects: DataFrame) -> DataFrame:
+    """Objects with the language and source that their keys tell."""
+    found = {n: F.regexp_extract("object_id", r"^up/lang=([^/]*)/source=([^/]*)/", i) for i, n in ((1, "lang"), (2, "source"))}
+    return objects.withColumns(found)
+
+
+@query
+def written_read(spark, folder):
+    """Files read whole: their lines are the documents."""
+    files = _named(read_objects(spark, _as_files(spark, folder), "up", **_FILES))
+    lines = files.select("lang", "source", F.explode(F.split(F.col("content").cast("string"), "\n", -1)).alias("line"), "length")
+    word = F.conv(F.substring(F.md5("line"), 1, 8), 16, 10).cast("bigint")
+    # Every file ends with a line end, behind which nothing stands.
+    empty = F.conv(F.substring(F.md5(F.lit("")), 1, 8), 16, 10).cast("bigint")
+    ends = files.groupBy("lang", "source").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    found = lines.groupBy("lang", "source").agg(F.count("*").alias("n"), F.sum(word).alias("digest"))
+    return found.join(ends, ["lang", "source"]).select(
+        "lang", "source", (F.col("n") - F.col("files")).alias("documents"), "bytes", (F.col("digest") - F.col("files") * empty).alias("digest")
+    )
+
+
+@query
+def written_sizes(spark, folder):
+    """Sizes of the same files, their contents unread."""
+    files = _named(list_objects(spark, _as_files(spark, folder), "up", **_FILES))
+    return files.groupBy("lang", "source").agg(F.sum("length").alias("bytes"))
+
+
+@query
+def written_part_reads(spark, folder):
+    """Ranges of the same files, read by seeking: their bytes and how many of them are line ends and e's."""
+    options = IngestOptions(bucket="up", part_size=4096, chunk_size=4096)
+    parts = _named(parts_of_files(spark, _as_files(spark, folder), options, **_FILES))
+    times = lambda c: F.sum(F.octet_length("data") - F.octet_length(F.replace(F.col("data").cast("string"), F.lit(c), F.lit(""))))
+    return parts.groupBy("lang", "source").agg(
+        F.sum(F.col("end") - F.col("start")).alias("planned"), F.sum(F.octet_length("data")).cast("bigint").alias("bytes"),
+        times("\n").alias("documents"), times("e").alias("es"), F.max(F.octet_length("data") <= 4096).alias("bounded"),
+    )
+
+
 @query
 def part_ranges(spark, folder):
     return plan_parts(objects(spark, folder).select("object_id", "length"), 1000)
