@@ -2,6 +2,7 @@
 
 import json
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -443,6 +444,20 @@ def test_stream_of_notifications(spark, folder, tmp_path):
         stat_objects(missing, str(folder)).collect()
 
 
+def test_a_missing_object_does_not_stop_a_stream(spark, folder, tmp_path):
+    lost = new_path(spark)
+    options, provider = replace(small_options(), dead_letter_path=lost), get_provider("term-hash-64")
+    (tmp_path / "queue").mkdir()
+    (tmp_path / "queue" / "1.json").write_text("\n".join([message("a.txt"), message("gone.txt"), message("b.txt")]))
+    store = vs.ParquetVectorStore(spark, new_path(spark), 64)
+    source = arriving_notifications(spark, str(tmp_path / "queue"))
+    start_ingest(
+        source, lambda b: parts_of_notified(b, str(folder), options), store, provider, new_path(spark), options
+    ).awaitTermination()
+    assert {r.id for r in store.read().collect()} == expected_ids(folder, options)
+    assert [r.object_id for r in spark.read.parquet(lost).collect()] == ["up/gone.txt"]
+
+
 def test_options(monkeypatch):
     monkeypatch.setenv("EMBEDDING_MODEL_NAME", "from-env")
     monkeypatch.setenv("PART_SIZE", "123")

@@ -36,6 +36,8 @@ class IngestOptions:
     encoding: str = "utf-8"
     on_invalid: str = "fail"
     quarantine_path: str | None = None
+    #: Where a stream reports announced objects that are not there; without it they stop the stream.
+    dead_letter_path: str | None = None
     #: Chunks embedded and written at a time; as many as provider and store accept if not given.
     batch_size: int | None = None
     max_concurrent: int | None = field(default_factory=lambda: int(_env("MAX_CONCURRENT_BATCHES", "0")) or None)

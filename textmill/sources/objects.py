@@ -126,12 +126,14 @@ def _open_store(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def stat_objects(keys: DataFrame, root: str) -> DataFrame:
+def stat_objects(keys: DataFrame, root: str, on_missing: str = "fail") -> DataFrame:
     """Sizes of named objects ``(object_id, key)`` below ``root``: adds ``path, length``.
 
-    One metadata request per object and none for its bytes; a missing object fails the
-    job, so that its message is delivered again.
+    One metadata request per object and none for its bytes.  A missing object fails the
+    job, so that its message is delivered again; with ``on_missing="null"`` its length is null.
     """
+    if on_missing not in ("fail", "null"):
+        raise ValueError("on_missing must be 'fail' or 'null'")
     prefix = root.rstrip("/")
     schema = pa.schema([("object_id", pa.string()), ("path", pa.string()), ("length", pa.int64())])
 
@@ -142,9 +144,9 @@ def stat_objects(keys: DataFrame, root: str) -> DataFrame:
                 path = f"{prefix}/{row['key']}"
                 store, name = _open_store(path)
                 info = store.get_file_info(name)
-                if not info.is_file:
+                if not info.is_file and on_missing == "fail":
                     raise FileNotFoundError(path)
-                rows.append({"object_id": row["object_id"], "path": path, "length": info.size})
+                rows.append({"object_id": row["object_id"], "path": path, "length": info.size if info.is_file else None})
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return keys.select("object_id", "key").mapInArrow(stat, "object_id string, path string, length bigint")

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from textmill.operators.embedding import EmbeddingProvider
 from textmill.plans.ingest import check_metadata_values, check_quarantine, embed_and_upsert, prepare_parts, report_quarantined
 from textmill.plans.options import IngestOptions
+from textmill.session import materialize
 from textmill.sinks.vectors import VectorStore
 from textmill.sources.notifications import parse_notifications
 from textmill.sources.objects import object_metadata, plan_parts, read_ranges, stat_objects
@@ -34,10 +35,18 @@ def parts_of_notified(
 ) -> DataFrame:
     """Parts of the objects that one micro-batch of notifications names.
 
-    Objects announced more than once are read once.
+    Objects announced more than once are read once, and each is asked for its size once.  With
+    ``dead_letter_path`` those that are missing are reported there, ``(object_id, path, at)``, and
+    the others go on; a micro-batch that runs again may report them again.
     """
     named = parse_notifications(messages, options.bucket, "body", all_records, url_decode).dropDuplicates(["object_id"])
-    return read_ranges(plan_parts(stat_objects(named, root), options.part_size))
+    found = materialize(stat_objects(named, root, "null" if options.dead_letter_path else "fail"))
+    if options.dead_letter_path:
+        lost = found.filter("length IS NULL")
+        if not lost.isEmpty():
+            lost.select("object_id", "path", F.current_timestamp().alias("at")).write.mode("append").parquet(options.dead_letter_path)
+        found = found.filter("length IS NOT NULL")
+    return read_ranges(plan_parts(found, options.part_size))
 
 
 def parts_of_arriving(objects: DataFrame, options: IngestOptions) -> DataFrame:
