@@ -478,3 +478,25 @@ def test_no_shuffle_before_the_store(spark, sf):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
 
 
+
+
+def test_parts_of_huge_objects_are_planned_in_two_steps(spark):
+    from textmill.sources.objects import _PARTS_AT_ONCE
+
+    sizes = [("a", 1), ("b", 1000 * _PARTS_AT_ONCE), ("c", 1000 * _PARTS_AT_ONCE + 1), ("d", 3 * 10**9 + 7), ("e", 0)]
+    objects = spark.createDataFrame(sizes, "object_id string, length bigint")
+    found = plan_parts(objects, 1000).groupBy("object_id").agg(
+        F.count("*").alias("n"), F.sum(F.col("end") - F.col("start")).alias("bytes"), F.countDistinct("start").alias("starts"), F.max("end").alias("end")
+    )
+    expected = {(k, -(-n // 1000), n, -(-n // 1000), n) for k, n in sizes if n}
+    assert {tuple(r) for r in found.collect()} == expected
+
+
+def test_neighbouring_parts_are_read_together():
+    from textmill.sources.objects import _BATCH_BYTES, _neighbours
+
+    row = lambda o, s, e: {"object_id": o, "path": o, "start": s, "end": e}
+    rows = [row("a", 0, 5), row("a", 5, 9), row("a", 10, 12), row("b", 12, 13), row("b", 13, 14 + _BATCH_BYTES), row("b", 14 + _BATCH_BYTES, 20 + _BATCH_BYTES)]
+    assert [[(r["object_id"], r["start"]) for r in run] for run in _neighbours(rows)] == [
+        [("a", 0), ("a", 5)], [("a", 10)], [("b", 12)], [("b", 13)], [("b", 14 + _BATCH_BYTES)]
+    ]

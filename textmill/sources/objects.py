@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +21,8 @@ _MAX_PART_SIZE = 256 * 1024 * 1024
 _WILDCARD = re.compile(r"[*?\[{\\]")
 # Bytes of parts that a reading task sends on in one batch, and reads in one go by default.
 _BATCH_BYTES = 16 * 1024 * 1024
+#: Parts of an object that one row lists while parts are planned.
+_PARTS_AT_ONCE = 4096
 _TASK_BYTES = 256 * 1024 * 1024
 
 
@@ -90,15 +92,18 @@ def objects_from_table(df: DataFrame, bucket: str, key: Column, text: Column) ->
 def plan_parts(objects: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """Byte ranges ``[start, end)`` of every object, keeping its other columns.
 
-    An empty object has no parts.
+    An empty object has no parts.  Objects are cut in two steps, so that no row holds more than
+    some thousand starts however large an object is.
     """
     check_sizes(part_size, 1)
-    size = F.lit(part_size).cast("bigint")
-    starts = F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, size)
+    size, stretch = (F.lit(n).cast("bigint") for n in (part_size, part_size * _PARTS_AT_ONCE))
+    last = F.least(F.col("__stretch") + stretch, F.col("length")) - 1
     return (
         objects.filter(F.col("length") > 0)
-        .withColumn("start", F.explode(starts))
+        .withColumn("__stretch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, stretch)))
+        .withColumn("start", F.explode(F.sequence(F.col("__stretch"), last, size)))
         .withColumn("end", F.least(F.col("start") + size, F.col("length")))
+        .drop("__stretch")
     )
 
 
@@ -155,53 +160,63 @@ def stat_objects(keys: DataFrame, root: str, on_missing: str = "fail") -> DataFr
 def read_ranges(parts: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Read planned parts ``(object_id, path, start, end)`` by seeking; adds ``data``.
 
-    The planned rows are what gets shuffled, not the bytes: a file of any size spreads
-    over all tasks.  The number of tasks is explicit because descriptors are tiny and
+    The planned rows are what gets shuffled, not the bytes: stretches of neighbouring parts go to
+    one task, which opens a file once and reads neighbours in one go, and a file of any size
+    spreads over all tasks.  The number of tasks is explicit because descriptors are tiny and
     would be merged by size otherwise.
     """
     spark = parts.sparkSession
     columns = ["object_id", "path", "start", "end"]
+    # One pass over listing metadata; it opens no file.
+    total = parts.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
     if num_partitions is None:
-        # One pass over listing metadata; it opens no file.
-        total = parts.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
         num_partitions = max(spark.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))
+    stretch = F.lit(max(1, total // num_partitions)).cast("bigint")
     schema = pa.schema(
         [("object_id", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("data", pa.binary())]
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened, handle = None, None
-        rows: list[dict] = []
-        held = 0
         try:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    if row["path"] != opened:
-                        if handle is not None:
-                            handle.close()
-                        store, name = _open_store(row["path"])
-                        opened, handle = row["path"], store.open_input_file(name)
-                    data = handle.read_at(row["end"] - row["start"], row["start"])
-                    if len(data) != row["end"] - row["start"]:
-                        raise OSError(f"{opened} changed while it was read")
-                    rows.append({"object_id": row["object_id"], "start": row["start"], "end": row["end"], "data": data})
-                    held += len(data)
-                    if held >= _BATCH_BYTES:
-                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                        rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            for run in _neighbours(row for batch in batches for row in batch.to_pylist()):
+                if run[0]["path"] != opened:
+                    if handle is not None:
+                        handle.close()
+                    store, name = _open_store(run[0]["path"])
+                    opened, handle = run[0]["path"], store.open_input_file(name)
+                begin, size = run[0]["start"], run[-1]["end"] - run[0]["start"]
+                data = handle.read_at(size, begin)
+                if len(data) != size:
+                    raise OSError(f"{opened} changed while it was read")
+                cut = [{**row, "data": data[row["start"] - begin : row["end"] - begin]} for row in run]
+                yield pa.RecordBatch.from_pylist([{k: row[k] for k in schema.names} for row in cut], schema=schema)
         finally:
             if handle is not None:
                 handle.close()
 
+    near = F.call_function("div", F.col("start"), stretch)
     return (
         parts.select(*columns)
-        .repartition(num_partitions)
+        .repartition(num_partitions, "path", near)
+        .sortWithinPartitions("path", "start")
         .mapInArrow(read, "object_id string, start bigint, end bigint, data binary")
     )
 
 
+def _neighbours(rows: Iterable[dict]) -> Iterator[list[dict]]:
+    """Runs of parts that continue each other, of a few megabytes at most or one part."""
+    run: list[dict] = []
+    for row in rows:
+        follows = run and (row["object_id"], row["path"], row["start"]) == (run[0]["object_id"], run[0]["path"], run[-1]["end"])
+        if run and not (follows and row["end"] - run[0]["start"] <= _BATCH_BYTES):
+            yield run
+            run = []
+        run.append(row)
+    if run:
+        yield run
+
+
 def chunk_array(chunk_size: int = CHUNK_SIZE, data: str = "data", start: str = "start") -> Column:
     """The chunks of a part as an ordered array of ``(data, start, end)``."""
     check_sizes(1, chunk_size)
