@@ -287,6 +287,11 @@ FROM events
 """
 _KEPT = f"SELECT body FROM ({_SENT}) WHERE coalesce(json_extract_string(body, '$.Event'), '') <> 's3:TestEvent'"
 
+_APPENDED = """SELECT conv_id, row_number() OVER w AS turn, text, (sum(strlen(text)) OVER w)::BIGINT - strlen(text) AS start,
+    (sum(strlen(text)) OVER w)::BIGINT AS "end" FROM conversations
+    WINDOW w AS (PARTITION BY conv_id ORDER BY CASE role WHEN 'system' THEN 0 WHEN 'user' THEN 1 ELSE 2 END, turn
+                 ROWS UNBOUNDED PRECEDING)"""
+_APPENDED_HEALED = _healed(_APPENDED, "conv_id", "turn", "conv_id, turn", _WORD_END, _NOT_WORD_END)
 _LINES = """SELECT coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source,
     translate(coalesce(text, ''), chr(10) || chr(13), '  ') AS line FROM documents"""
 
@@ -362,6 +367,8 @@ ORACLE: dict[str, str] = {
     ),
     "resized_turns": f"""SELECT stream AS conv_id, text, start, "end"
         FROM ({_resized_stream(f"SELECT conv_id AS stream, turn, text, start FROM ({_wrapped()})", 50, 200)})""",
+    "appended_resized": f"""SELECT stream AS conv_id, text, start, "end"
+        FROM ({_resized_stream(f"SELECT conv_id AS stream, turn, text, start FROM ({_APPENDED_HEALED})", 50, 200)})""",
     "prepared_chunks": f'SELECT object_id, 0 AS part_start, seq, text, start, "end" FROM ({_PREPARED})',
     "prepared_small_chunks": f"""SELECT stream.object_id, stream.part_start, text, start, "end"
         FROM ({_resized_stream(_SMALL_HEALED, 15, 40)})""",

@@ -376,6 +376,16 @@ def resized_turns(spark, folder):
     return resize_chunks(wrapped, TURNS).select("conv_id", "text", "start", "end")
 
 
+@query
+def appended_resized(spark, folder):
+    """The whole chain over streams that were put together: bytes, text, whole words, token bounds."""
+    said = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    said = said.withColumn("data", F.encode("text", "UTF-8")).drop("text")
+    by_role = [said.filter(F.col("role") == r).drop("role") for r in ("system", "user", "assistant")]
+    chunks = decode_chunks(wrap_bytes(in_order(TURNS, *by_role), TURNS), TURNS)
+    return resize_chunks(heal_words(chunks, TURNS), TURNS).select("conv_id", "text", "start", "end")
+
+
 @query
 def prepared_chunks(spark, folder):
     """The whole chain at its default sizes: one part and one chunk per document."""
