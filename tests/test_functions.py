@@ -20,29 +20,23 @@ def value(spark, column):
     return spark.range(1).select(column.alias("v")).first().v
 
 
-@pytest.mark.parametrize(
-    "wanted, start, end, reverse, expected",
-    [
-        ([4], None, None, False, 3),
-        ([4], None, None, True, 3),
-        ([2, 4], None, None, False, 1),
-        ([2, 4], None, None, True, 3),
-        ([6], None, None, False, -1),
-        ([2], 1, None, False, 1),
-        ([2], 2, None, False, -1),
-        ([3], None, 3, False, 2),
-        ([3], None, 2, False, -1),
-        ([3], None, 3, True, 2),
-        ([3], None, 99, True, 2),
-        ([], None, None, False, -1),
-    ],
-)
-def test_index_any(spark, wanted, start, end, reverse, expected):
-    items = F.array(*[F.lit(i) for i in range(1, 6)])
-    members = F.array(*[F.lit(i) for i in wanted]).cast("array<int>")
-    assert value(spark, tx.index_any_item(items, members, start, end, reverse)) == expected
-    digits = "".join(map(str, wanted))
-    assert value(spark, tx.index_any(F.lit("12345"), digits, start, end, reverse)) == expected
+def first_or_last(text, wanted, start, end, reverse):
+    """The place by looking at each character of the slice in turn."""
+    places = [i for i in range(len(text))[slice(start, end)] if text[i] in wanted]
+    return (places[-1] if reverse else places[0]) if places else -1
+
+
+@pytest.mark.parametrize("wanted", ["7", "09", "37", "x", ""])
+def test_index_any(spark, wanted):
+    text = "3709137x0"
+    items = F.array(*[F.lit(c) for c in text])
+    members = F.array(*[F.lit(c) for c in wanted]).cast("array<string>")
+    slices = [(a, b, r) for a in (None, 0, 2, 8) for b in (None, 0, 3, 9, 40) for r in (False, True)]
+    by_item = [tx.index_any_item(items, members, *s) for s in slices]
+    by_text = [tx.index_any(F.lit(text), wanted, *s) for s in slices]
+    expected = [first_or_last(text, wanted, *s) for s in slices]
+    assert value(spark, F.array(*[c.cast("int") for c in by_item])) == expected
+    assert value(spark, F.array(*[c.cast("int") for c in by_text])) == expected
 
 
 def test_index_any_of_nothing(spark):

@@ -21,7 +21,7 @@ def effective_batch_size(requested: int | None, *limits: int) -> int:
 def number_batches(df: DataFrame, order: StreamOrder, size: int, name: str = "batch") -> DataFrame:
     """Number consecutive groups of ``size`` rows; the last one may be short."""
     if size < 1:
-        raise ValueError("n must be at least one")
+        raise ValueError(f"a batch cannot hold {size} rows")
     return (
         running_sum(df, order, F.lit(1), "__rank")
         .withColumn(name, F.floor(F.col("__rank") / F.lit(size)).cast("bigint"))

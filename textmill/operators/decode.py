@@ -16,7 +16,7 @@ _INVALID = "chunk is not valid UTF-8"
 def check_encoding(encoding: str) -> None:
     """Only UTF-8 chunks can be healed."""
     if encoding.lower() != "utf-8":
-        raise NotImplementedError("Only utf-8 encoding is supported.")
+        raise NotImplementedError(f"split characters are healed in UTF-8, not in {encoding}")
 
 
 def no_carry() -> Column:

@@ -136,7 +136,7 @@ def register_provider(name: str, build: Callable[[], EmbeddingProvider]) -> None
 def get_provider(name: str) -> EmbeddingProvider:
     """The embedding provider of a model name."""
     if name not in _PROVIDERS:
-        raise ValueError(f"Unknown model {name}")
+        raise ValueError(f"no embedding provider is registered as {name!r}")
     return _PROVIDERS[name]()
 
 

@@ -434,5 +434,5 @@ def register_store(name: str, build: Callable[..., VectorStore]) -> None:
 def get_store(name: str, *args, **options) -> VectorStore:
     """The vector store of a name, built with the given options."""
     if name not in _STORES:
-        raise ValueError(f"Unknown vector store {name}")
+        raise ValueError(f"no vector store is registered as {name!r}")
     return _STORES[name](*args, **options)
