@@ -11,12 +11,13 @@ from .mixing import mix_sources
 from .neardup import drop_near_duplicates
 from .packing import pack_documents
 
-#: A document goes if no language has this share of the probability.
+#: A document goes if no learned language has this share of the probability.  Words of an unknown
+#: language seldom split it evenly, so this rejects few texts; clean ones stay.
 LEAST_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; the others have no letters or fit no language well."""
+    """Documents with a language; those without letters, or with no language ahead of all others together, go."""
     # Other columns may have the names of results.
     others = {c: f"__{i}" for i, c in enumerate(docs.columns) if c != "text"}
     rows = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(n) for c, n in others.items()])
@@ -49,7 +50,10 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; the one on a source's cut is taken whole."""
+    """Documents as often as the mix takes them; the one on a source's cut is taken whole.
+
+    Documents without words are never taken.
+    """
     rows = docs.select("doc_id", "text", "source", F.struct("*").alias("row"))
     mixed = mix_sources(rows, keep=("row",)).filter("taken > 0")
     copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
