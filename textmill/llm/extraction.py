@@ -12,6 +12,8 @@ words in many layouts, of which it is known what is content; see ``training_page
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -42,11 +44,11 @@ INLINE = {
 }
 #: Which open elements a start tag closes.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<close>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
+_OPEN = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(?P<close>/)?(?P<name>[a-zA-Z])")
+_NAME_END = re.compile(r"[\s/>]|\Z")
+#: What ends each kind of markup that is no tag.
+_ENDS = {"<!--": "-->", "<![CDATA[": "]]>", "<!": ">", "<?": ">"}
+_QUOTE_OR_END = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 #: Stands in front of the content blocks of training pages; a code point for private use.
 _MARK = "\ue000"
@@ -62,10 +64,44 @@ class Leaf:
     linked: float
 
 
+class _TagEnds:
+    """Where tags end, quoted values aside, in time that grows with the page whatever its markup.
+
+    From a given quote or ``>`` outside quotes the way to the end of a tag is always the same, so
+    those on a way that leads nowhere are not tried again.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.places = [m.start() for m in _QUOTE_OR_END.finditer(html)]
+        self.dead: set[int] = set()
+
+    def after(self, at: int) -> int:
+        """The place behind the tag's ``>``, or -1 if the tag does not end."""
+        way = []
+        while True:
+            i = bisect_left(self.places, at)
+            if i == len(self.places) or i in self.dead:
+                break
+            place = self.places[i]
+            if self.html[place] == ">":
+                return place + 1
+            way.append(i)
+            at = self.html.find(self.html[place], place + 1) + 1
+            if not at:
+                break
+        self.dead.update(way)
+        return -1
+
+
 def leaves(html: str) -> list[Leaf]:
     """Leaf blocks of a page in order; broken markup is read as far as it goes."""
     out: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    #: How often each name of a path, and each element, is open.
+    names: Counter[str] = Counter()
+    opened: Counter[str] = Counter()
+    ends = _TagEnds(html)
     parts: list[str] = []
     linked = unseen = links = 0
 
@@ -73,59 +109,82 @@ def leaves(html: str) -> list[Leaf]:
         nonlocal linked
         text = _SPACE.sub(" ", unescape("".join(parts))).strip()
         if text:
-            names = tuple(n for _, own in stack for n in own)
-            out.append(Leaf(text, names, min(1.0, linked / len(text))))
+            # Each name once, and the innermost element at the end.
+            path = (*names, stack[-1][0]) if stack else ()
+            out.append(Leaf(text, path, min(1.0, linked / len(text))))
         parts.clear()
         linked = 0
 
     def pop() -> None:
         nonlocal unseen, links
-        name = stack.pop()[0]
+        name, own = stack.pop()
+        opened[name] -= 1
+        for n in own:
+            names[n] -= 1
+            if not names[n]:
+                del names[n]
         unseen -= name in UNSEEN
         links -= name == "a"
 
-    at = 0
+    at = scan = name_end = 0
     while at < len(html):
-        found = _TOKEN.search(html, at)
+        found = _OPEN.search(html, scan)
+        name = ""
+        if found and found["name"]:
+            if name_end < found.end():
+                name_end = _NAME_END.search(html, found.end()).start()
+            end = ends.after(name_end)
+            if end < 0:
+                scan = found.end()  # not a tag: part of the text
+                continue
+            name = html[found.start("name") : name_end].lower()
+        elif found:
+            mark = _ENDS[found.group()]
+            end = html.find(mark, found.end())
+            end = end + len(mark) if end >= 0 else len(html)
         text = html[at : found.start() if found else len(html)]
         if text and not unseen:
             parts.append(text)
             linked += len(text) if links else 0
         if not found:
             break
-        at = found.end()
-        name = (found["name"] or "").lower()
+        at = scan = end
         if not name:
             continue
+        rest = html[name_end : end - 1]
         if name not in INLINE:
             flush()
         elif name == "br":
             parts.append(" ")
         if found["close"]:
-            if any(n == name for n, _ in stack):
+            if opened[name]:
                 while stack[-1][0] != name:
                     pop()
                 pop()
             continue
-        if name not in INLINE and any(n == "p" for n, _ in stack) and name not in VOID:
-            # A block ends an open paragraph.
-            inner = max(i for i, (n, _) in enumerate(stack) if n == "p")
-            if all(n in INLINE or n == "p" for n, _ in stack[inner:]):
+        if name not in INLINE and opened["p"] and name not in VOID:
+            # A block ends an open paragraph, unless another block is open in it.
+            inner = len(stack) - 1
+            while stack[inner][0] in INLINE:
+                inner -= 1
+            if stack[inner][0] == "p":
                 while len(stack) > inner:
                     pop()
         if name in CLOSES and stack and stack[-1][0] in CLOSES[name]:
             pop()
-        if name in VOID or found["rest"].rstrip().endswith("/") and name not in RAW:
+        if name in VOID or rest.rstrip().endswith("/") and name not in RAW:
             continue
         own = [name]
-        for key, *values in _ATTRIBUTE.findall(found["rest"]):
+        for key, *values in _ATTRIBUTE.findall(rest):
             own += [f"{key.lower()}={w}" for w in re.split(r"[\s_-]+", "".join(values).lower()) if w]
         stack.append((name, tuple(own)))
+        opened[name] += 1
+        names.update(own)
         unseen += name in UNSEEN
         links += name == "a"
         if name in RAW:
-            end = re.compile(rf"</{name}\b", re.I).search(html, at)
-            at = end.start() if end else len(html)
+            close = re.compile(rf"</{name}\b", re.I).search(html, at)
+            at = scan = close.start() if close else len(html)
     flush()
     return out
 
