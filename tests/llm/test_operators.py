@@ -1,5 +1,8 @@
 import hashlib
+import time
 import zlib
+from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -96,6 +99,25 @@ def test_top_k_equals_sorting_all_scores(spark):
     assert {tuple(r) for r in found} == expected
 
 
+def test_top_k_of_wide_values_and_repeated_rows(spark):
+    r = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in r.normal(0, 0.3, 4).round(1)]) for i in range(40)]
+    rows += [(50, [3e7, -1e7, 1.0, 0.0]), (60, [2e7, 0.0, 0.0, -2e7]), (61, [-2e7, 1e7, 2e7, 0.5]), (20, [0.5, 0.5, 0.0, 0.1]), (3, [0.5] * 4), (3, [0.5] * 4)]
+    q = quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = Counter(tuple(x) for x in top_k(q.filter("id % 20 = 0"), q, 9).collect())
+    whole = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in rows]
+    expected = Counter()
+    for i, own in whole:
+        if i % 20 == 0:
+            others = sorted((-sum(a * b for a, b in zip(own, v, strict=True)), j) for j, v in whole if j != i)
+            expected.update((i, n + 1, j, -s) for n, (s, j) in enumerate(others[:9]))
+    assert found == expected
+    with pytest.raises(Exception, match="too large"):
+        quantised(spark.createDataFrame([(1, [1e30])], "vec_id long, embedding array<double>")).collect()
+    empty = quantised(spark.createDataFrame([], "vec_id long, embedding array<float>"))
+    assert top_k(empty, empty, 3).collect() == []
+
+
 def test_fingerprints_of_edited_texts(spark):
     texts = ["the quick brown fox jumps over the lazy dog " * 3, "", None, "the quick brown fox", "häß 日本 words", "\n "]
     rows = [(10 * i, t) for i, t in enumerate(texts)] + [(90, texts[0])]
@@ -112,6 +134,18 @@ def test_fingerprints_of_edited_texts(spark):
     assert fingerprint_edits(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_near_documents_of_every_hundredth(spark):
+    base = " ".join(f"word{i}" for i in range(400))
+    texts = [base, base + " more", base, "other text altogether", None, "", base + " and more"]
+    rows = [(100 * i if i % 2 == 0 else 7 * i + 1, t) for i, t in enumerate(texts)] + [(None, base), (200, "x y z"), (201, "x y z")]
+    found = fingerprint_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    prints = [int(r["fingerprint"], 16) for r in found]
+    for r, own in zip(found, prints, strict=True):
+        near = sum((own ^ other).bit_count() <= 3 for other in prints) - 1
+        assert r["n_near"] == (near if r["doc_id"] is not None and r["doc_id"] % 100 == 0 else None)
+    assert sorted(r["n_near"] for r in found if r["n_near"] is not None)[-1] >= 2
+
+
 def test_the_next_document_crosses_ranges_of_ids(spark):
     rows = [(i * i, f"text number {i} with words") for i in range(3000)]
     found = {r["doc_id"]: r for r in fingerprint_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -203,6 +237,35 @@ def test_languages_of_held_out_documents(spark, sf):
     assert found.filter("score < 0 or score > 1").count() == 0
 
 
+def test_forward_sums_all_segmentations():
+    pieces = ["a", "b", "ab", "ba", "aba", "▁a", "▁ab", "abababababababab", "▁"]
+    lattice = Lattice(pieces)
+    r = np.random.default_rng(1)
+    probs = r.random((len(pieces) + 1, 3)) / 10
+
+    def total(word):
+        if not word:
+            return np.ones(3)
+        out = np.zeros(3)
+        for n in range(1, len(word) + 1):
+            i = pieces.index(word[:n]) if word[:n] in pieces else len(pieces) if n == 1 else None
+            if i is not None:
+                out = out + probs[i] * total(word[n:])
+        return out
+
+    words = ["", "a", "ab", "abab", "cab", "bac", "aba" * 3, "b" + "ab" * 8, "ccccc"]
+    for places, chars in lattice.groups(words):
+        found = np.exp(lattice.forward(chars, probs))
+        assert np.allclose(found, [total("▁" + words[i]) for i in places], rtol=1e-9)
+        # Expected uses: how the logarithm of the probability follows each piece's.
+        uses = lattice.expected(chars, probs[:, 0], np.ones(len(places)))
+        for i in range(len(pieces) + 1):
+            more = probs.copy()
+            more[i] *= 1 + 1e-6
+            slope = (lattice.forward(chars, more)[:, 0] - lattice.forward(chars, probs)[:, 0]).sum() / 1e-6
+            assert abs(slope - uses[i]) < 1e-3
+
+
 def test_long_words_count(spark):
     r = np.random.default_rng(3)
     rows = []
@@ -272,3 +335,45 @@ def test_empty_pages(spark, model):
     rows = [(1, "u", None), (2, None, ""), (3, "v", "<html>" * 10)]
     found = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), model).collect()
     assert [tuple(r) for r in found] == [(1, "u", "", 0), (2, None, "", 0), (3, "v", "", 0)]
+
+
+class Reader(HTMLParser):
+    """The text inside ``article`` elements, read by another parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.parts = 0, []
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+
+    def handle_data(self, data):
+        if self.depth:
+            self.parts.append(data)
+
+
+def test_leaves_hold_the_text_that_another_parser_finds(spark, sf):
+    for r in spark.read.parquet(f"{sf}/pages.parquet").collect():
+        reader = Reader()
+        reader.feed(r["html"])
+        own = "".join(x.text for x in leaves(r["html"]) if "article" in x.path)
+        assert "".join(own.split()) == "".join("".join(reader.parts).split())
+
+
+@pytest.mark.parametrize(
+    "html", ["<a " * 350_000, "<a href='x " * 90_000, "<a" * 500_000, "<div class='c'>t" * 60_000, "<p>" + "<b>" * 100_000 + "<div>" * 50_000,
+             "<div>" * 50_000 + "</x>" * 100_000, "<!" * 400_000, "\"<b '" * 200_000],
+)
+def test_broken_markup_takes_linear_time(html):
+    began = time.process_time()
+    leaves(html)
+    assert time.process_time() - began < 20
+
+
+def test_tags_without_an_end_are_text():
+    assert [x.text for x in leaves("<p>one <b title='x>two</b> three")] == ["one <b title='x>two three"]
+    assert [x.text for x in leaves("a < b <i and 'c' > d")] == ["a < b d"]
+    assert leaves("") == [] and [x.text for x in leaves("<a")] == ["<a"]

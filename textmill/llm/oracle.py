@@ -7,10 +7,10 @@ WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x) AND abs(64 * x::DOUBLE) < 1073741824)) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
 ), scored AS (
   SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
-    coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+    coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1]::HUGEINT * p[2])), 0)::BIGINT AS score
   FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
   WHERE a.vec_id % 20 = 0
 ), ranked AS (

@@ -21,21 +21,23 @@ from pyspark.sql import functions as F
 from .common import staged
 
 #: Rows of a block of the index and queries that visit it together.
-BLOCK_ROWS, BLOCK_QUERIES = 65_536, 256
+BLOCK_ROWS, BLOCK_QUERIES = 16_384, 256
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64) -> DataFrame:
     """``id, dims, q``: components as ``floor(scale * x)``; unusable vectors are left out.
 
-    Unusable are null vectors and those holding null or non-finite components, or components
-    whose quantised value takes more than 31 bits (scores could then leave 64 bits).
+    Unusable are null vectors and those holding null or non-finite components; rows without an id
+    are left out too.  A component whose quantised value does not fit into 63 bits fails the job.
     """
     v = F.transform(vector_col, lambda x: x.cast("double"))
-    fine = lambda x: F.coalesce(F.abs(x * scale) < 2**30, F.lit(False))  # noqa: E731  false for NaN and infinity
+    fine = lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))  # noqa: E731  false for NaN and infinity
+    wide = F.raise_error(F.lit("a component is too large for scores of 64 bits")).cast("long")
+    whole = lambda x: F.when(F.abs(x * scale) < 2.0**62, F.floor(x * scale).cast("long")).otherwise(wide)
     return (
         vectors.select(F.col(id_col).alias("id"), v.alias("v"))
         .filter(F.col("id").isNotNull() & F.col("v").isNotNull() & F.forall("v", fine))
-        .select("id", F.size("v").alias("dims"), F.transform("v", lambda x: F.floor(x * scale).cast("int")).alias("q"))
+        .select("id", F.size("v").alias("dims"), F.transform("v", whole).alias("q"))
     )
 
 
@@ -120,6 +122,26 @@ class SlicedBlock:
             total.append(waiting[0] if len(waiting) else np.zeros(self.words, np.uint64))
         return total, plus
 
+    def values(self) -> np.ndarray:
+        """The values that the slices were made of, as Python integers."""
+        bits = np.unpackbits(self.maps[: self.turned].view(np.uint8), axis=1, bitorder="little")[:, : len(self.ids)]
+        columns = []
+        for d, low in enumerate(self.low.tolist()):
+            own = bits[self.first[d] : self.first[d + 1]]
+            columns.append([low + sum(int(x) << b for b, x in enumerate(row)) for row in own.T.tolist()])
+        return np.array(columns, object).reshape(len(self.low), len(self.ids)).T
+
+    def fits(self, query: np.ndarray) -> bool:
+        """Whether all sums on the way to a score stay within 62 bits."""
+        most = np.maximum(np.abs(self.low.astype(object)), np.abs(self.high.astype(object)))
+        return int((np.abs(query.astype(object)) * (most + np.abs(self.low.astype(object)))).sum()) < 2**62
+
+    def top_of_wide(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same as ``top`` for values whose sums may leave 64 bits; a score that does is an error."""
+        scores = (self.values() * query.astype(object)).sum(axis=1) if len(query) else np.zeros(len(self.ids), object)
+        order = sorted((-int(s), i) for s, i in zip(scores, self.ids.tolist(), strict=True) if i != own)[:k]
+        return np.array([i for _, i in order], np.int64), np.array([-s for s, _ in order], np.int64)
+
     def _places(self, bitmap: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
@@ -159,14 +181,20 @@ def _search(k: int):
                 )
                 asked = _cell(batch, "asked", row).values.to_numpy(zero_copy_only=False)
                 queries = _matrix(_cell(batch, "asked_q", row).values, _cell(batch, "dims", row).as_py())
-                found = [block.top(q, own, k) for own, q in zip(asked.tolist(), queries, strict=True)]
+                found = [
+                    (block.top if block.fits(q) else block.top_of_wide)(q, own, k)
+                    for own, q in zip(asked.tolist(), queries, strict=True)
+                ]
+                sizes = [len(i) for i, _ in found]
+                asked_rows = _cell(batch, "asked_rows", row).values.to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.repeat(asked, [len(i) for i, _ in found]), pa.int64()),
+                        pa.array(np.repeat(asked, sizes), pa.int64()),
+                        pa.array(np.repeat(asked_rows, sizes), pa.int64()),
                         pa.array(np.concatenate([i for i, _ in found]), pa.int64()),
                         pa.array(np.concatenate([s for _, s in found]), pa.int64()),
                     ],
-                    names=["query_id", "vec_id", "score"],
+                    names=["query_id", "query_row", "vec_id", "score"],
                 )
 
     return run
@@ -174,18 +202,19 @@ def _search(k: int):
 
 def _blocks(df: DataFrame, size: int, block: str, ids: str, q: str) -> DataFrame:
     """Rows dealt by hash into blocks of about ``size`` vectors of one length."""
+    df = df.withColumn("row", F.monotonically_increasing_id())
     counts = df.groupBy("dims").agg((F.floor(F.count("*") / size) + 1).alias("of"))
     return (
         df.join(counts, "dims")
         .withColumn(block, F.pmod(F.xxhash64("id"), F.col("of")).cast("long"))
         .groupBy("dims", block)
-        .agg(F.collect_list(F.struct("id", "q")).alias("r"))
-        .select("dims", block, F.col("r.id").alias(ids), F.col("r.q").alias(q))
+        .agg(F.collect_list(F.struct("id", "q", "row")).alias("r"))
+        .select("dims", block, F.col("r.id").alias(ids), F.col("r.q").alias(q), F.col("r.row").alias(f"{ids}_rows"))
     )
 
 
 def build_index(rows: DataFrame) -> DataFrame:
-    """The bit-sliced index of ``quantised`` rows, a row per block of up to about 65,536."""
+    """The bit-sliced index of ``quantised`` rows, a row per block of up to about 16,384."""
     return _blocks(rows, BLOCK_ROWS, "block", "ids", "q").mapInArrow(
         _slice, "dims int, block long, ids array<long>, low array<long>, widths array<int>, slices binary"
     )
@@ -194,9 +223,9 @@ def build_index(rows: DataFrame) -> DataFrame:
 def top_k(queries: DataFrame, rows: DataFrame, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` best rows of each query, all if fewer.
 
-    Both tables come from ``quantised``; ids are unique in each.  A query never finds the row
-    with its own id, and compares with vectors of its own length only.  Ties go to the smaller
-    id.  Queries visit the index in blocks: every block of rows with every block of queries, so
+    Both tables come from ``quantised``.  A query never finds rows with its own id, and compares
+    with vectors of its own length only.  Ties go to the smaller id.  Rows with equal ids are rows
+    each: a repeated query has its list once per row, a repeated row is found once per row.  Queries visit the index in blocks: every block of rows with every block of queries, so
     a task holds one block of each, whatever the sizes of the tables.  Empty tables give an
     empty result; a vector without components scores 0.
     """
@@ -204,11 +233,12 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 20) -> DataFrame:
     asking = _blocks(queries, BLOCK_QUERIES, "group", "asked", "asked_q")
     visits = index.select("dims", "block").join(asking, "dims")
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    met = visits.repartition(4 * cores, "block", "group").join(index, ["dims", "block"])
-    local = met.select("dims", "ids", "low", "widths", "slices", "asked", "asked_q").mapInArrow(
-        _search(k), "query_id long, vec_id long, score long"
+    # Dealt behind the join, which may gather all visits of a block in one task.
+    met = visits.join(index, ["dims", "block"]).repartition(4 * cores, "dims", "block", "group")
+    local = met.select("dims", "ids", "low", "widths", "slices", "asked", "asked_q", "asked_rows").mapInArrow(
+        _search(k), "query_id long, query_row long, vec_id long, score long"
     )
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("query_id", "query_row").orderBy(F.col("score").desc(), "vec_id")
     return (
         local.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
