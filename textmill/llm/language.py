@@ -21,8 +21,6 @@ from .common import WordCache, distinct_words, give_back, text_slices
 
 #: Bounds of the training sample: documents and distinct words of each language.
 SAMPLE_DOCS, SAMPLE_WORDS = 2_000, 30_000
-#: Pieces have up to so many characters; longer ones of the vocabulary are left out.
-LONGEST = 8
 #: Longer words, as of languages without spaces, count as runs of so many characters.
 RUN = 100
 ROUNDS = 4
@@ -52,7 +50,7 @@ def read_pieces(path: str) -> list[str]:
         for i in range(model.get_piece_size())
         if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i))
     )
-    return sorted({p.lower() for p in ordinary if 0 < len(p.lower()) <= LONGEST})
+    return sorted({p.lower() for p in ordinary if p})
 
 
 def _codes(word: str) -> np.ndarray:
@@ -67,14 +65,18 @@ class Lattice:
 
     def __init__(self, pieces: Sequence[str]):
         self.size = len(pieces) + 1
-        keys = np.zeros(len(pieces), np.uint64)
+        self.longest = max(map(len, pieces), default=1)
+        # All beginnings of pieces, with the piece that each is or -1.
+        known: dict[int, int] = {}
         for n, piece in enumerate(pieces):
             key = 0
             for c in _codes(piece).tolist():
                 key = (key * int(_BASE) + c + 1) % 2**64
-            keys[n] = key
+                known.setdefault(key, -1)
+            known[key] = n
+        keys = np.array(list(known) or [0], np.uint64)
         order = np.argsort(keys)
-        self.keys, self.ids = keys[order], order
+        self.keys, self.ids = keys[order], np.array(list(known.values()) or [-1], np.int64)[order]
 
     def groups(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places of words of one length, and a matrix of their characters with ``▁`` in front."""
@@ -89,20 +91,24 @@ class Lattice:
 
     def pieces(self, chars: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """``start, end, rows, ids`` of pieces, by end, for words given as a matrix."""
-        open_keys: dict[int, np.ndarray] = {}
+        begun: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for end in range(1, chars.shape[1] + 1):
             last = chars[:, end - 1] + np.uint64(1)
-            open_keys.pop(end - 1 - LONGEST, None)
-            open_keys[end - 1] = np.zeros(len(chars), np.uint64)
-            for start, before in open_keys.items():
-                open_keys[start] = keys = before * _BASE + last
+            begun[end - 1] = np.arange(len(chars)), np.zeros(len(chars), np.uint64)
+            for start, (rows, before) in list(begun.items()):
+                keys = before * _BASE + last[rows]
                 at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-                found = self.keys[at] == keys
+                goes_on = self.keys[at] == keys
+                ids = np.where(goes_on, self.ids[at], -1)
                 if end - start == 1:
-                    yield start, end, np.arange(len(chars)), np.where(found, self.ids[at], self.size - 1)
-                elif found.any():
-                    rows = np.flatnonzero(found)
-                    yield start, end, rows, self.ids[at[rows]]
+                    yield start, end, rows, np.where(ids >= 0, ids, self.size - 1)
+                elif (ids >= 0).any():
+                    yield start, end, rows[ids >= 0], ids[ids >= 0]
+                # Only words that a piece may still go on in are looked up again.
+                if goes_on.any():
+                    begun[start] = rows[goes_on], keys[goes_on]
+                else:
+                    del begun[start]
 
     def forward(self, chars: np.ndarray, probs: np.ndarray) -> np.ndarray:
         """Logarithms of the words' probabilities, one column per column of ``probs``."""
@@ -117,7 +123,7 @@ class Lattice:
                 # Long words would leave the range of floating point numbers.
                 low = alpha[end - 1].max(1) < _TINY
                 if low.any():
-                    alpha[max(0, end - LONGEST) : end, low] /= _TINY
+                    alpha[max(0, end - self.longest) : end, low] /= _TINY
                     scale[low] += np.log(_TINY)
             alpha[end, rows] += alpha[start, rows] * probs[ids]
         return np.log(np.maximum(alpha[length], 1e-300)) + scale
