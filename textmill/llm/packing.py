@@ -37,9 +37,25 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _letters(word: str) -> bool:
-    """Whether the word is still letters alone when composed and in lower case."""
-    return word.isalpha() if word.isascii() else unicodedata.normalize("NFC", word).lower().isalpha()
+def _byte_letters() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: itself if it is visible, else one beyond 255."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = (b for b in range(256) if b not in set(visible))
+    return {b: chr(b) for b in visible} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+_BYTES = _byte_letters()
+
+
+def _written(word: str) -> str | None:
+    """A word as the vocabulary's merges see it, if it is one run of letters that no normalising changes."""
+    if not word.isalpha() or word.lower() != word:
+        return None
+    if word.isascii():
+        return word
+    if not unicodedata.is_normalized("NFC", word) or "\u03c3" in word or "\u03c2" in word:
+        return None
+    return word.encode().decode("latin-1").translate(_BYTES)
 
 
 class _Encoder:
@@ -52,8 +68,6 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.ends[[i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith("</w>")]] = True
         self.cache = WordCache(self._encode)
 
     @classmethod
@@ -63,28 +77,20 @@ class _Encoder:
         return cls.cached[path]
 
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Lengths and ids.  Words of letters alone are one run of pieces, whose last one ends a word."""
-        plain = np.array([_letters(w) for w in words], bool)
-        joined = self.tokenizer.encode_batch_fast(
-            [" ".join(w for w, p in zip(words, plain, strict=True) if p)], add_special_tokens=False
-        )[0]
-        flat = np.array(joined.ids, "<u4")
-        stops = np.flatnonzero(self.ends[flat]) + 1
-        others = self.tokenizer.encode_batch_fast(
-            [w for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False
-        )
-        ids = [e.ids for e in others]
-        lengths = np.zeros(len(words), np.int64)
-        lengths[plain] = np.diff(stops, prepend=0)
-        lengths[~plain] = [len(x) for x in ids]
-        both = np.concatenate([flat, np.array([i for x in ids for i in x], "<u4")])
-        # Lay the two kinds out in order of the words.
-        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
-        sizes = lengths[order]
-        first = np.empty(len(words), np.int64)
-        first[order] = np.cumsum(sizes) - sizes
-        begins = np.cumsum(lengths) - lengths
-        return lengths, both[np.repeat(first - begins, lengths) + np.arange(len(both))]
+        """Lengths and ids.  Plain words go to the merges at once, the others through the whole tokenizer."""
+        merge = self.tokenizer.model.tokenize
+        ids: list[list[int]] = []
+        others: list[int] = []
+        for n, word in enumerate(words):
+            written = _written(word)
+            ids.append([t.id for t in merge(written)] if written else [])
+            if written is None:
+                others.append(n)
+        found = self.tokenizer.encode_batch_fast([words[n] for n in others], add_special_tokens=False)
+        for n, one in zip(others, found, strict=True):
+            ids[n] = one.ids
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return lengths, np.fromiter((i for own in ids for i in own), "<u4", int(lengths.sum()))
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, ``END_ID`` behind each text, and where texts start."""
