@@ -149,12 +149,26 @@ def edited_text(text: Column, other: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(other, F.lit(1), half))
 
 
+def near_rows(rows: DataFrame, every: int = 100, radius: int = 3) -> DataFrame:
+    """``asked, n_near``: of each fingerprint of ids divisible by ``every``, the rows within ``radius`` bits of it.
+
+    The rows that have the fingerprint themselves are among them.
+    """
+    asked = F.concat_ws(",", F.transform("fingerprint", lambda p: p.cast("string")))
+    queries = rows.filter(F.col("id") % every == 0).filter("fingerprint IS NOT NULL")
+    queries = queries.select(asked.alias("id"), "fingerprint").distinct()
+    counts = rows.groupBy("fingerprint").agg(F.count("*").alias("n"))
+    found = near_fingerprints(queries, rows, radius).join(counts, "fingerprint")
+    return found.groupBy(F.col("query_id").alias("asked")).agg(F.sum("n").alias("n_near"))
+
+
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, and how alike they are.
 
     Needs ``doc_id`` and ``text``; other columns are ignored.  A null text counts as empty, a
     text without words has the fingerprint zero.  Repeated rows and equal ids each give a row.
-    Likeness is the share of equal bits.
+    Likeness is the share of equal bits.  ``n_near`` is, for ids divisible by 100 and null for the
+    others, the number of other documents whose fingerprint differs in 3 bits at most.
     """
     plain = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     chain = with_next(plain, "text").withColumn("row", F.monotonically_increasing_id())
@@ -172,8 +186,15 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         prints.groupBy("key.about").agg(of(0).alias("fingerprint"), of(1).alias("edited")).select("about.*", "fingerprint", "edited"),
         "prints",
     )
+    # A text without words has all zeros; only those are null.
+    zero = F.array(*[F.lit(0).cast("long")] * PARTS)
+    near = near_rows(rows.select("id", F.coalesce("fingerprint", zero).alias("fingerprint")))
+    own = F.concat_ws(",", F.transform(F.coalesce("fingerprint", zero), lambda p: p.cast("string")))
+    # The others look for nothing, each under a name of its own, so that no task gathers them.
+    asked = F.when(F.col("id") % 100 == 0, own).otherwise(F.concat(F.lit("row"), F.col("row").cast("string")))
+    chained = with_next(rows, "fingerprint").withColumn("asked", asked)
     alike = lambda one, other: 1 - distance(F.col(one), F.col(other)) / BITS
-    return with_next(rows, "fingerprint").select(
+    return chained.join(near, "asked", "left").select(
         F.col("id").alias("doc_id"),
         "n_chars",
         F.col("sha").alias("edited_sha256"),
@@ -181,4 +202,5 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         hex_fingerprint(F.col("edited")).alias("edited_fingerprint"),
         alike("fingerprint", "edited").alias("near_edited"),
         alike("fingerprint", "next").alias("near_next"),
+        (F.col("n_near") - 1).alias("n_near"),
     )
