@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from tests.sequential import tail_start
 from textmill.functions import utf8
 
@@ -55,3 +56,19 @@ def test_continuation_byte(spark):
 def test_validity(spark):
     splits = list(itertools.chain.from_iterable([(c, c[:-1]) for c in CHARACTERS if len(c) > 1]))
     assert column(spark, splits, utf8.is_valid_utf8) == [True, False] * (len(splits) // 2)
+
+
+def test_continuation_bytes(spark):
+    every = bytes(range(256))
+    values = [b"", b"text", "é漢\U0001f600".encode(), every * 3, b"\x80" * 9, b"\xc3", b"[^]\n\x85\xbf"]
+    expected = [sum(0x80 <= byte < 0xC0 for byte in v) for v in values]
+    assert column(spark, values, utf8.continuation_bytes) == expected
+    assert spark.range(1).select(utf8.continuation_bytes(F.lit(None).cast("binary")).alias("n")).first().n is None
+
+
+def test_continuation_bytes_are_counted_without_a_list_of_bytes(spark, tmp_path):
+    spark.createDataFrame([(1, "é" * 1000)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    counted = queries()["continuation_bytes"](spark, str(tmp_path))
+    assert counted.first().n == 1000
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(1, octet_length" not in plan

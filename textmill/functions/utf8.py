@@ -1,9 +1,9 @@
 """UTF-8 boundary functions over BINARY columns.
 
-All of them look at the hexadecimal form of at most a handful of bytes at one end of
-the value, so they cost the same for a 64-byte chunk and for a 1 MiB one.  Only input
-that cannot be UTF-8 (four or more continuation bytes in a row) takes the slow branch
-that reads the whole value.
+All but ``continuation_bytes`` look at the hexadecimal form of at most a handful of bytes
+at one end of the value, so they cost the same for a 64-byte chunk and for a 1 MiB one.
+Only input that cannot be UTF-8 (four or more continuation bytes in a row) takes the slow
+branch that reads the whole value.
 """
 
 from __future__ import annotations
@@ -46,6 +46,18 @@ def leading_continuation_bytes(data: Column) -> Column:
     return F.when(near < MAX_CHARACTER_BYTES, near).otherwise(_leading_run(data))
 
 
+def continuation_bytes(data: Column) -> Column:
+    """Number of continuation bytes anywhere in the value.
+
+    Latin-1 shows every byte as one character, so one regular expression leaves those that
+    ``is_continuation_byte`` accepts; no array has an item per byte.
+    """
+    accepted = F.filter(F.sequence(F.lit(0), F.lit(255)), is_continuation_byte)
+    characters = F.array_join(F.transform(accepted, lambda byte: F.char(byte)), "")
+    others = F.concat(F.lit("[^"), characters, F.lit("]+"))
+    return F.length(F.regexp_replace(F.decode(data, "ISO-8859-1"), others, F.lit("")))
+
+
 def _last_bytes(data: Column) -> Column:
     size = F.octet_length(data)
     return byte_range(data, F.greatest(size - (MAX_CHARACTER_BYTES + 1), F.lit(0)), MAX_CHARACTER_BYTES + 1)
