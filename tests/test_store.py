@@ -11,6 +11,7 @@ from textmill.operators.retry import Retry
 from textmill.plans.ingest import embed_and_upsert, ingest_files
 from textmill.plans.options import IngestOptions
 from textmill.session import shared_folder
+from textmill.sinks import deltas
 from textmill.sinks import vectors as vs
 from textmill.sinks.deltas import Delta, State, due
 
@@ -225,3 +226,29 @@ def test_prefix_and_metadata_per_batch(spark):
     assert found == {f"p{i // 3}:{10 * i}-{11 * i + 1}": (i + 1.0, i // 3) for i in range(7)}
     with pytest.raises(Exception, match="fewer values"):
         embed_and_upsert(chunks, store, provider, batch_size=2, per_batch=values)
+
+
+def test_vectors_are_sorted_by_id_only_if_an_id_comes_twice(spark, monkeypatch):
+    calls, latest = [], vs.latest_per_id
+    monkeypatch.setattr(vs, "latest_per_id", lambda *given: calls.append(1) or latest(*given))
+    store = vs.ParquetVectorStore(spark, new_path(spark), 4, buckets=3)
+    store.upsert(stored(spark, [(str(i), i) for i in range(50)]))
+    assert not calls and store.count() == 50
+    store.upsert(stored(spark, [("7", 3), ("7", 9), ("7", 9), ("new", 1), ("7", 5)]))
+    assert len(calls) == 1
+    assert contents(store.read()) == {str(i): float(i) for i in range(50)} | {"7": 9.0, "new": 1.0}
+    # What was written first is gone, nobody reads it.
+    assert {f"version={d.version}" for d in store._published().deltas} == set(store._children("data"))
+    store.upsert(spark.createDataFrame([], stored(spark, [("", 0)]).schema))
+    assert store.read().count() == 51
+
+
+def test_replacements_meet_ids_alone(spark, monkeypatch):
+    seen, without = [], deltas.without_replaced
+    monkeypatch.setattr(deltas, "without_replaced", lambda rows, gone: seen.append(rows.columns) or without(rows, gone))
+    store = vs.ParquetVectorStore(spark, new_path(spark), 4, buckets=1, fan=9)
+    store.upsert(stored(spark, [("b/x:0-1", 1), ("b/x:1-2", 2), ("b/y:0-1", 3)]))
+    store.upsert(stored(spark, [("b/x:0-1", 4)]), replaced=spark.createDataFrame([("b/x",)], "prefix string"))
+    store.upsert(stored(spark, [("b/y:0-1", 5), ("b/x:1-2", 6)]))
+    assert contents(store.read()) == {"b/x:0-1": 4.0, "b/x:1-2": 6.0, "b/y:0-1": 5.0}
+    assert seen == [["id", "sequence"]]

@@ -104,10 +104,9 @@ def term_hash_provider(dimension: int = 64) -> EmbeddingProvider:
     @F.arrow_udf("array<float>")
     def count(terms: pa.Array) -> pa.Array:
         coded = terms.flatten().dictionary_encode()
-        buckets = np.array(
-            [int(md5(t.encode(), usedforsecurity=False).hexdigest()[:8], 16) % dimension for t in coded.dictionary.to_pylist()],
-            dtype=np.int64,
-        )
+        known = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+        digests = b"".join(md5(term, usedforsecurity=False).digest() for term in known)
+        buckets = (np.frombuffer(digests, dtype=">u4")[::4] % dimension).astype(np.int64)
         lengths = pa.compute.list_value_length(terms).fill_null(0).to_numpy(zero_copy_only=False)
         rows = np.repeat(np.arange(len(terms), dtype=np.int64), lengths)
         cells = rows * dimension + buckets[coded.indices.to_numpy(zero_copy_only=False)]

@@ -97,10 +97,14 @@ def without_replaced(rows: DataFrame, replaced: DataFrame) -> DataFrame:
     return found.filter(F.col("__since").isNull() | (F.col("sequence") >= F.col("__since"))).drop("__since")
 
 
-def newest_per_id(rows: DataFrame) -> DataFrame:
+def newest_per_id(rows: DataFrame, replaced: DataFrame | None = None) -> DataFrame:
     """``rows (id, sequence, ...)`` of the highest sequence of each id; a pair of them occurs once.
 
-    Only ids and sequences are grouped; the vectors meet no more than the list of winners.
+    With ``replaced``, those of objects replaced since are left out.  Only ids and sequences are
+    grouped and compared; the vectors meet no more than the list of winners.
     """
     winners = rows.groupBy("id").agg(F.max("sequence").alias("sequence"))
+    if replaced is not None:
+        # Where the newest row of an id is too old, the others are too.
+        winners = without_replaced(winners, replaced)
     return rows.join(winners, ["id", "sequence"], "left_semi")

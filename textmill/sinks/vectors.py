@@ -254,8 +254,30 @@ class ParquetVectorStore:
             self._drop(f"data/{_VERSION}={version}")
             raise
         # Footers alone are read for this.
-        written = self.spark.read.schema(T.StructType([*self.schema, T.StructField(_BUCKET, T.IntegerType())])).parquet(folder)
-        return {r[_BUCKET]: r["count"] for r in written.groupBy(_BUCKET).count().collect()}
+        return {r[_BUCKET]: r["count"] for r in self._written(version).groupBy(_BUCKET).count().collect()}
+
+    def _written(self, version: int) -> DataFrame:
+        """The rows of one version with their bucket."""
+        placed = T.StructType([*self.schema, T.StructField(_BUCKET, T.IntegerType())])
+        return self.spark.read.schema(placed).parquet(f"{self.path}/data/{_VERSION}={version}")
+
+    def _write_once(self, rows: DataFrame) -> tuple[int, dict[int, int]]:
+        """Write rows by bucket, each id once; their version and the number of rows of each bucket.
+
+        Rows are written as they come, and only their ids are read back and grouped, by hash: vectors
+        are sorted by id only if an id was written twice or two ids share a hash.
+        """
+        token = _new_version()
+        counts = self._write(rows, token)
+        if not counts:
+            return token, counts
+        written = self._written(token)
+        if not written.groupBy(F.xxhash64("id")).count().filter("count > 1").isEmpty():
+            again = _new_version()
+            counts = self._write(latest_per_id(written.drop(_BUCKET)), again)
+            self._drop(f"data/{_VERSION}={token}")
+            token = again
+        return token, counts
 
     def _rows(self, deltas: Sequence[Delta]) -> DataFrame:
         """The rows of some deltas with their sequence."""
@@ -281,10 +303,12 @@ class ParquetVectorStore:
         found = []
         for deltas, layers in ((alone, False), (layered, True)):
             if deltas:
-                rows = only(self._rows(deltas))
-                if state.replaced:
-                    rows = without_replaced(rows, self._replaced(state))
-                found.append((newest_per_id(rows) if layers else rows).select(*self.schema.fieldNames()))
+                rows, replaced = only(self._rows(deltas)), self._replaced(state) if state.replaced else None
+                if layers:
+                    rows = newest_per_id(rows, replaced)
+                elif replaced is not None:
+                    rows = without_replaced(rows, replaced)
+                found.append(rows.select(*self.schema.fieldNames()))
         return reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], self.schema)
 
     def read(self) -> DataFrame:
@@ -301,9 +325,11 @@ class ParquetVectorStore:
         rows of theirs that were there before and are not in it are gone.  Of two upserts at once
         the one that publishes later wins where they share ids.
         """
-        checked = latest_payload(vectors, self.dimension, self.metadata, version, unique)
-        token = _new_version()
-        rows = self._write(checked, token)
+        if version is None and not unique:
+            token, rows = self._write_once(payload(vectors, self.dimension, self.metadata))
+        else:
+            token = _new_version()
+            rows = self._write(latest_payload(vectors, self.dimension, self.metadata, version, unique), token)
         if replaced is not None:
             replaced.select(F.col("prefix").cast("string")).filter("prefix IS NOT NULL").distinct().write.parquet(
                 f"{self.path}/replaced/{_VERSION}={token}"
