@@ -1,8 +1,11 @@
 """Scalar functions on text and arrays."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
+from textmill.functions import digests
 from textmill.functions import text as tx
 from textmill.functions.tokens import (
     WordTokenizer,
@@ -105,3 +108,15 @@ def test_external_tokenizer(spark):
     with pytest.raises(ValueError):
         get_tokenizer("nobody")
     assert isinstance(get_tokenizer("words"), WordTokenizer)
+
+
+@pytest.mark.parametrize("chain", [digests.md5_blocks, digests.plain_blocks])
+def test_md5_taken_up_again(chain):
+    for size in (0, 1, 55, 56, 63, 64, 65, 119, 120, 128, 1000):
+        data = bytes(i * 7 % 251 for i in range(size))
+        value, whole = digests.START, size - size % digests.BLOCK
+        for start in range(0, whole, 2 * digests.BLOCK):
+            value = chain(value, data[start : min(start + 2 * digests.BLOCK, whole)])
+        assert digests.md5_end(value, data[whole:], size, chain) == hashlib.md5(data).hexdigest()
+    with pytest.raises(ValueError):
+        digests.md5_blocks(digests.START, b"no block")

@@ -1,5 +1,6 @@
 """Objects, notifications, embedding, stores, and the jobs built from them."""
 
+import hashlib
 import json
 import uuid
 from dataclasses import replace
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalog.queries import QUERIES
 from tests import sequential
 from textmill.operators.embedding import (
     assemble_vectors,
@@ -29,10 +31,12 @@ from textmill.plans.ingest import (
 from textmill.plans.options import IngestOptions
 from textmill.session import shared_folder
 from textmill.sinks import vectors as vs
+from textmill.sources import objects as sources
 from textmill.sources.notifications import describe_part, parse_notifications, parse_part
 from textmill.sources.objects import (
     chunk_parts,
     cut_parts,
+    digest_objects,
     list_objects,
     objects_from_table,
     plan_parts,
@@ -162,6 +166,50 @@ def test_part_beyond_two_gigabytes(spark, tmp_path):
     assert bytes(last.data[-5:]) == b"tail." and last.start == (3 << 30) - (64 << 20)
 
 
+@pytest.mark.parametrize("stretch", [64, 192, 1 << 20])
+def test_digests_of_files(spark, tmp_path, monkeypatch, stretch):
+    bodies = {f"f {n}": bytes(i * 7 % 251 for i in range(n)) for n in (1, 63, 64, 65, 191, 192, 193, 384, 700)}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    expected = {f"up/{k}": (len(v), hashlib.md5(v).hexdigest()) for k, v in bodies.items()}
+    files, listed = (read(spark, str(tmp_path), "up") for read in (read_objects, list_objects))
+    got = digest_objects(files, listed, stretch).collect()
+    assert len(got) == len(bodies) and {r.object_id: (r.length, r.digest) for r in got} == expected
+    # Where only Spark opens the files, they come as rows.
+    monkeypatch.setattr(sources, "_can_seek", lambda path: False)
+    assert {r.object_id: (r.length, r.digest) for r in digest_objects(files, listed, stretch).collect()} == expected
+    with pytest.raises(ValueError):
+        digest_objects(files, listed, 100)
+
+
+def test_digest_of_a_changed_file(tmp_path):
+    (tmp_path / "a").write_bytes(bytes(200))
+    file = ("up/a", str(tmp_path / "a"), 200)
+    _, value, stamp = sources._digest_stretch(file, sources.START, None, 0, 128)
+    assert sources._digest_stretch(file, value, stamp, 128, 128)[1] == hashlib.md5(bytes(200)).hexdigest()
+    for other, then in ((file, (200, 0)), (("up/a", file[1], 300), None)):
+        with pytest.raises(OSError, match="changed"):
+            sources._digest_stretch(other, value, then, 128, 128)
+
+
+def test_file_beyond_two_gigabytes(spark, tmp_path):
+    size = (2 << 30) + 5
+    with open(tmp_path / "big.parquet", "wb") as f:
+        f.truncate(size)
+        f.seek(size - 5)
+        f.write(b"tail.")
+    (tmp_path / "small.parquet").write_bytes(b"small")
+    body = hashlib.md5()
+    for _ in range(128):
+        body.update(bytes(16 << 20))
+    body.update(b"tail.")
+    got = {r.object_id: (r.length, r.digest) for r in QUERIES["file_read"](spark, str(tmp_path)).collect()}
+    assert got == {
+        "tables/big.parquet": (size, body.hexdigest()),
+        "tables/small.parquet": (5, hashlib.md5(b"small").hexdigest()),
+    }
+
+
 def message(key, **more):
     return json.dumps({"Records": [{"s3": {"object": {"key": key}}}, {"s3": {"object": {"key": "more"}}}], **more})
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.functions.digests import BLOCK, START, md5_blocks, md5_end
 from textmill.functions.utf8 import byte_range
 
 # Default size of a part and of a chunk inside a part.
@@ -74,6 +75,70 @@ def read_objects(spark: SparkSession, path: str, bucket: str | None = None, **op
     return files.select(_object_id(spark, path, bucket).alias("object_id"), "length", "content")
 
 
+def digest_objects(objects: DataFrame, listed: DataFrame, stretch: int = _TASK_BYTES) -> DataFrame:
+    """MD5 of whole files ``(object_id, length, digest)``, of which no task reads more than ``stretch`` bytes.
+
+    ``objects`` are the files as ``read_objects`` gives them and ``listed`` as ``list_objects`` does.
+    A file of up to ``stretch`` bytes is read as one row.  A larger one is read by seeking, a stretch
+    in a round: MD5 is a chain over the bytes, so the task of a stretch starts from the 16 bytes that
+    the one before has left.  Files go side by side, and the driver keeps a row per larger file.
+    Rounds run while the plan is built.  In a store that only Spark opens, every file is one row.
+    """
+    if stretch < BLOCK or stretch % BLOCK:
+        raise ValueError(f"stretch must be a multiple of {BLOCK}")
+    spark = objects.sparkSession
+    larger = listed.filter(F.col("length") > stretch).select("object_id", "path", "length").collect()
+    waiting = [(tuple(r), START, None) for r in larger] if larger and _can_seek(larger[0]["path"]) else []
+    # The filter reaches the file source, which does not open the larger files.
+    rows = objects.filter(F.col("length") <= stretch) if waiting else objects
+    whole = rows.select("object_id", "length", F.md5("content").alias("digest"))
+    found: list[tuple[str, int, str]] = []
+    start = 0
+    while waiting:
+        # One file per task, so that two stretches never meet in one.
+        read = [
+            (file, *rest)
+            for file, *rest in spark.sparkContext.parallelize(waiting, len(waiting))
+            .map(lambda row, start=start: _digest_stretch(*row, start, stretch))
+            .collect()
+        ]
+        start += stretch
+        found += [(file[0], file[2], value) for file, value, _ in read if start >= file[2]]
+        waiting = [row for row in read if start < row[0][2]]
+    if not found:
+        return whole
+    return whole.unionByName(spark.createDataFrame(found, "object_id string, length bigint, digest string"))
+
+
+def _can_seek(path: str) -> bool:
+    try:
+        store, name = _open_store(path)
+        return store.get_file_info(name).is_file
+    except (OSError, pa.ArrowException):
+        return False
+
+
+def _digest_stretch(file: tuple, value: bytes, stamp: tuple | None, start: int, stretch: int) -> tuple:
+    """The file, its chaining value after a stretch or, after the last one, its digest, and its time stamp."""
+    _, path, length = file
+    store, name = _open_store(path)
+    info = store.get_file_info(name)
+    now = (info.size, info.mtime_ns)
+    if info.size != length or now != (stamp or now):
+        raise OSError(f"{path} changed while it was read")
+    end = min(start + stretch, length)
+    with store.open_input_file(name) as handle:
+        for at in range(start, end, _BATCH_BYTES):
+            size = min(_BATCH_BYTES, end - at)
+            data = handle.read_at(size, at)
+            if len(data) != size:
+                raise OSError(f"{path} changed while it was read")
+            # Only the end of a file is no whole number of blocks.
+            blocks = size - size % BLOCK
+            value, rest = md5_blocks(value, data[:blocks]), data[blocks:]
+    return file, md5_end(value, rest, length) if end == length else value, now
+
+
 def objects_from_table(df: DataFrame, bucket: str, key: Column, text: Column) -> DataFrame:
     """Rows of a text table as objects: ``(object_id, length, content)``.
 
